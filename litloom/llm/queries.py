@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litloom.llm import fingerprints, mixing, sharding
+from litloom.llm import fingerprints, langid, mixing, quality, secrets, sharding
 from litloom.llm.storage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,27 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "quality"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.identify(docs.select("doc_id", "text"), langid.train(docs))
+
+
+def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    of = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *[of(i).alias(f"n_{k}") for i, k in enumerate(secrets.KINDS[:3])],
+        F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"),
+        secrets.listed(F.array_sort(F.concat("base", "added"))).alias("spans"),
+        F.size("added").cast("long").alias("n_random"),
+    )
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.copies(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "rate", "copies")
@@ -65,5 +86,7 @@ WITH RECURSIVE sizes AS (
 SELECT doc_id, size, source_size, target, size * copies AS taken, source, rate, copies FROM drawn
 """
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_document_fingerprints, op4_sharding, op10_mixing)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (
+        op1_document_fingerprints, op3_quality_classifier, op4_sharding, op5_language_id, op8_secret_scans, op10_mixing,
+    )}
 ORACLE_SQL: dict[str, str] = {"op10_mixing": OP10_SQL}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litloom.llm import fingerprints, langid, mixing, quality, secrets, sharding
+from litloom.llm import decontam, fingerprints, langid, mixing, ngram_join, quality, secrets, sharding
 from litloom.llm.storage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "quality"))
 
@@ -42,6 +46,11 @@ def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontam.find_contamination(docs.select("doc_id", "text"), items.select("item_id", "text"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.copies(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "rate", "copies")
@@ -86,7 +95,37 @@ WITH RECURSIVE sizes AS (
 SELECT doc_id, size, source_size, target, size * copies AS taken, source, rate, copies FROM drawn
 """
 
+# Brute force over all pairs of documents that share a shingle, then reachability.
+OP2_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN []
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) END)) AS s
+  FROM words
+), sizes AS (
+  SELECT w.doc_id, count(s.s) AS n FROM words w LEFT JOIN sets s ON w.doc_id = s.doc_id GROUP BY w.doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+  FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+  WHERE 100 * k >= 80 * (x.n + y.n - k)
+), both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+  SELECT a AS v, b AS r FROM both_ways
+  UNION
+  SELECT reached.v, e.b FROM reached JOIN both_ways e ON reached.r = e.a
+)
+SELECT s.doc_id, CAST(s.n AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(min(r.r), s.doc_id)) AS component_id
+FROM sizes s LEFT JOIN reached r ON s.doc_id = r.v GROUP BY s.doc_id, s.n
+"""
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
-        op1_document_fingerprints, op3_quality_classifier, op4_sharding, op5_language_id, op8_secret_scans, op10_mixing,
+        op1_document_fingerprints, op2_ngram_jaccard_join, op3_quality_classifier, op4_sharding, op5_language_id, op8_secret_scans,
+        op9_benchmark_decontamination, op10_mixing,
     )}
-ORACLE_SQL: dict[str, str] = {"op10_mixing": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_ngram_jaccard_join": OP2_SQL, "op10_mixing": OP10_SQL}

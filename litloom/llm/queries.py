@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litloom.llm import decontam, fingerprints, langid, mixing, ngram_join, quality, secrets, sharding, substring
+from litloom.llm import decontam, fingerprints, langid, licenses, mixing, ngram_join, quality, secrets, sharding, substring
 from litloom.llm.storage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,12 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    ids = F.transform("sentences", lambda s: s["id"])
+    return found.select("doc_id", F.array_join("licenses", ",").alias("licenses"), F.size("sentences").cast("long").alias("n_known"), F.array_join(ids, ",").alias("sentence_ids"))
+
+
 def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
     of = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
@@ -130,7 +136,7 @@ FROM sizes s LEFT JOIN reached r ON s.doc_id = r.v GROUP BY s.doc_id, s.n
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
         op1_document_fingerprints, op2_ngram_jaccard_join, op3_quality_classifier, op4_sharding, op5_language_id,
-        op6_substring_dedup, op8_secret_scans,
+        op6_substring_dedup, op7_license_scans, op8_secret_scans,
         op9_benchmark_decontamination, op10_mixing,
     )}
-ORACLE_SQL: dict[str, str] = {"op2_ngram_jaccard_join": OP2_SQL, "op10_mixing": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_ngram_jaccard_join": OP2_SQL, "op7_license_scans": licenses.scan_sql(), "op10_mixing": OP10_SQL}

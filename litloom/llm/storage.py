@@ -11,20 +11,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Checkpoint `df` in the folder all executors share, so a lost executor costs no upstream work.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir; a local session without that setting gets one of its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="checkpoints-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
 
-    The folder is the session's spark.checkpoint.dir. Only a local session without that
-    setting gets a folder of its own.
-    """
+def settle(df: DataFrame) -> DataFrame:
+    """Checkpoint `df` in the shared folder, so a lost executor costs no upstream work."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="checkpoints-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

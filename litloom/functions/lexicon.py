@@ -37,14 +37,26 @@ def is_dropped(word: Column) -> Column:
     return word.isin(DROPPED)
 
 
+def _cut(word: Column, n: int) -> Column:
+    return F.substr(word, F.lit(1), F.length(word) - n)
+
+
+def _ends(word: Column, *tails: str) -> Column:
+    out = F.endswith(word, F.lit(tails[0]))
+    for tail in tails[1:]:
+        out = out | F.endswith(word, F.lit(tail))
+    return out
+
+
 def lemma(word: Column) -> Column:
-    """Singular of a noun by rule; other words stay."""
+    """Singular of a noun by rule; other words stay. No patterns, since it runs once for every word of a text."""
     return (
-        F.when(word.isin("assess", "assesses"), F.lit("assess"))
-        .when(word.rlike("^.{2,}ies$"), F.regexp_replace(word, "ies$", "y"))
-        .when(word.rlike("(ch|sh|x|z|ss)es$"), F.regexp_replace(word, "es$", ""))
-        .when(word.rlike("men$"), F.regexp_replace(word, "men$", "man"))
-        .when(word.rlike("[^sui]s$"), F.regexp_replace(word, "s$", ""))
+        F.when(~_ends(word, "s", "men"), word)
+        .when(word.isin("assess", "assesses"), F.lit("assess"))
+        .when(_ends(word, "ies") & (F.length(word) >= 5), F.concat(_cut(word, 3), F.lit("y")))
+        .when(_ends(word, "ches", "shes", "xes", "zes", "sses"), _cut(word, 2))
+        .when(_ends(word, "men"), F.concat(_cut(word, 3), F.lit("man")))
+        .when(~_ends(word, "ss", "us", "is") & (F.length(word) > 1), _cut(word, 1))
         .otherwise(word)
     )
 

@@ -23,16 +23,17 @@ def fold_accents(text: Column) -> Column:
     return F.regexp_replace(F.translate(text, FOLD_FROM, FOLD_TO), r"[^\x00-\x7F]", "")
 
 
+def _capital(word: Column) -> Column:
+    return (F.upper(word) == word) & (F.lower(word) != word)
+
+
 def is_abbreviation(word: Column) -> Column:
     """Upper-case words, also with a plural s."""
-    whole = (F.upper(word) == word) & word.rlike("[A-Z]")
-    plural = word.rlike("s$") & (F.length(word) > 1)
-    root = F.regexp_replace(word, "s$", "")
-    return whole | (plural & (F.upper(root) == root) & root.rlike("[A-Z]"))
+    return _capital(word) | (F.endswith(word, F.lit("s")) & _capital(normalize_abbreviation(word)))
 
 
 def normalize_abbreviation(word: Column) -> Column:
-    return F.regexp_replace(word, "s$", "")
+    return F.when(F.endswith(word, F.lit("s")), F.substr(word, F.lit(1), F.length(word) - 1)).otherwise(word)
 
 
 def separate_words(text: Column) -> Column:
@@ -50,20 +51,20 @@ def normalize_text(text: Column, lower: bool = True) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    """Index terms of a normalised text: no dropped words, nouns in the singular, abbreviations in upper case."""
-    words = F.filter(F.split(F.regexp_replace(text, r"[^A-Za-z0-9_]+", " "), " "), lambda w: (w != "") & ~w.rlike("^[0-9]") & ~is_dropped(w))
-
-    def judged(w: Column) -> Column:
-        short = normalize_abbreviation(w)
-        noun = F.lower(lemma(w))
-        noun = F.when(F.length(noun) <= 1, w).otherwise(noun)
-        plain = (F.length(w) > 1) & ~is_dropped(F.lower(w)) & ~is_dropped(noun)
-        return F.struct(
-            F.when(is_abbreviation(w), short).otherwise(noun).alias("term"),
-            F.when(is_abbreviation(w), ~is_dropped(short)).otherwise(plain).alias("ok"),
-        )
-
-    return F.transform(F.filter(F.transform(words, judged), lambda t: t["ok"]), lambda t: t["term"])
+    """Index terms of a normalised text: no dropped words, nouns in the singular, abbreviations in upper case.
+
+    Each step binds what the next one uses, so nothing is computed twice for a word.
+    """
+    words = F.filter(F.split(F.regexp_replace(text, r"[^A-Za-z0-9_]+", " "), " "), lambda w: (w != "") & ((w < "0") | (w >= ":")) & ~is_dropped(w))
+    seen = F.transform(words, lambda w: F.struct(w.alias("w"), is_abbreviation(w).alias("short")))
+    seen = F.filter(seen, lambda s: s["short"] | ((F.length(s["w"]) > 1) & ~is_dropped(F.lower(s["w"]))))
+
+    def term(s: Column) -> Column:
+        return F.when(s["short"], normalize_abbreviation(s["w"])).otherwise(F.lower(lemma(s["w"])))
+
+    found = F.transform(seen, lambda s: F.struct(s["w"].alias("w"), s["short"].alias("short"), term(s).alias("term")))
+    found = F.transform(found, lambda s: F.when(~s["short"] & (F.length(s["term"]) <= 1), s["w"]).otherwise(s["term"]))
+    return F.filter(found, lambda t: ~is_dropped(t))
 
 
 def remove_unicode_symbols(text: Column) -> Column:

@@ -20,11 +20,18 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.concat(words, F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.concat_ws(" ", a, b))))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out over all cores where a table has fewer files than cores; larger tables stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def build_postings(df: DataFrame, id_col: str = "doc_id", text_cols: list[str] = ("text",), keyword_cols: list[str] = ()) -> DataFrame:
     """Columns term, doc_id, without repeats. Rows that share an id are one document; null texts have no terms.
 
     Terms are made distinct within a row before anything is shuffled.
     """
+    df = spread(df.select(id_col, *text_cols))
     grams = df.select(F.col(id_col).alias("doc_id"), F.explode(terms(index_text(df, list(text_cols), list(keyword_cols)))).alias("term"))
     return grams.select("term", "doc_id").distinct()
 

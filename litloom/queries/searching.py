@@ -1 +1,256 @@
-"""Queries."""
+"""Queries of the index, of search, and of the labelling steps that rest on it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from litloom.functions.text import normalize_text, sentences, tokens
+from litloom.operators import dedup, index, labels, search
+from litloom.queries.parts import folded, postings_ctes, token_ctes
+from litloom.queries.registry import query, table, values, values_sql
+
+DICTIONARY = [
+    (1, "general public licenses", "GPL", "Licence", "Copyleft"), (2, "Apache License", "Apache", "Licence", "Permissive"), (3, "MIT License", "MIT", "Licence", "Permissive"),
+    (4, "worthless", "Insult", "Tone", "other"), (5, "disgusting", "Insult", "Tone", "other"), (6, "pathetic", "Insult", "Tone", ""), (7, "password", "Credential", "Security", "Secret"),
+    (8, "token", "Credential", "Security", "Secret"), (9, "the thtion", "Syllable", "Text", "Part"), (10, "thanedble anea", "Boilerplate", "Text", "Whole"), (11, "onanshat in", "Boilerplate", "Text", "Whole"),
+]
+DICT_SCHEMA = "query_id long, query string, label string, class string, middle string"
+QUERY_CTES = f"""
+dict(query_id, query, label, class, middle) AS (VALUES {values_sql(DICTIONARY)}),
+{token_ctes("dict", "query_id", "query", "qtok")},
+qsize AS (SELECT id, count(*) AS n FROM qtok GROUP BY id),
+qgrams AS (
+  SELECT t.id AS query_id, t.i AS place, CASE WHEN s.n = 1 THEN 1 ELSE s.n - 1 END AS n_grams, CASE WHEN s.n = 1 THEN t.term ELSE t.term || ' ' || u.term END AS gram
+  FROM qtok t JOIN qsize s ON t.id = s.id LEFT JOIN qtok u ON u.id = t.id AND u.i = t.i + 1 WHERE s.n = 1 OR u.term IS NOT NULL
+),
+seeds AS (
+  SELECT query_id, place, n_grams, gram, gram AS seed FROM qgrams UNION SELECT query_id, place, n_grams, gram, replace(gram, ' ', '') FROM qgrams
+  UNION SELECT query_id, place, n_grams, gram, substr(gram, 1, k - 1) || CASE substr(gram, k, 1) WHEN 's' THEN 'z' ELSE 's' END || substr(gram, k + 1)
+  FROM (SELECT *, unnest(range(3, length(gram))) AS k FROM qgrams WHERE length(gram) > 5 AND NOT contains(gram, ' ')) WHERE substr(gram, k, 1) IN ('s', 'z')
+)"""
+EXACT_CTES = f"""WITH {postings_ctes()}, {QUERY_CTES},
+hits AS (
+  SELECT query_id, id AS doc_id FROM (SELECT DISTINCT s.query_id, s.n_grams, s.place, p.id FROM seeds s JOIN post p ON s.seed = p.term) GROUP BY query_id, n_grams, id HAVING count(*) = n_grams
+)"""
+
+
+def dictionary(spark: SparkSession) -> DataFrame:
+    return values(spark, DICT_SCHEMA, DICTIONARY)
+
+
+def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return index.build_postings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def hits(spark: SparkSession, sf_dir: str, threshold: float = 1.0) -> DataFrame:
+    posts = postings(spark, sf_dir)
+    return search.search(dictionary(spark), posts, index.build_vocabulary(posts), threshold)
+
+
+@query(f"{EXACT_CTES} SELECT label, count(DISTINCT doc_id) AS docs FROM hits JOIN dict USING (query_id) GROUP BY label")
+def dict_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = labels.dictionary_labels(hits(spark, sf_dir), dictionary(spark))
+    return found.groupBy("label").agg(F.count(F.lit(1)).alias("docs"))
+
+
+@query(f"{EXACT_CTES} SELECT query_id, doc_id FROM hits")
+def search_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hits(spark, sf_dir)
+
+
+@query(f"WITH {postings_ctes()} SELECT term, prefix3, n_tokens, df FROM vocab")
+def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return index.build_vocabulary(postings(spark, sf_dir)).withColumn("n_tokens", F.col("n_tokens").cast("long"))
+
+
+@query(f"WITH {postings_ctes()} SELECT prefix3, count(*) AS terms, CAST(sum(df) AS BIGINT) AS postings FROM vocab WHERE n_tokens = 1 GROUP BY prefix3")
+def prefix_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = index.build_vocabulary(postings(spark, sf_dir)).where("n_tokens = 1")
+    return vocab.groupBy("prefix3").agg(F.count(F.lit(1)).alias("terms"), F.sum("df").alias("postings"))
+
+
+@query(f"WITH {postings_ctes()} SELECT term, df FROM vocab WHERE df >= 2 AND n_tokens = 2")
+def bigram_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return index.trimmed_vocabulary(index.build_vocabulary(postings(spark, sf_dir))).where("n_tokens = 2").select("term", "df")
+
+
+GROUPS = [(1, 7), (1, 9), (2, 1), (2, 2), (2, 3), (3, 4), (3, 5)]
+_GROUPS_SQL = f"groups(group_id, query_id) AS (VALUES {values_sql(GROUPS)})"
+
+
+def groups(spark: SparkSession) -> DataFrame:
+    return values(spark, "group_id long, query_id long", GROUPS)
+
+
+@query(f"""{EXACT_CTES}, {_GROUPS_SQL}, sizes AS (SELECT group_id, count(*) AS n FROM groups GROUP BY group_id)
+SELECT group_id, doc_id FROM hits JOIN groups USING (query_id) JOIN sizes USING (group_id) GROUP BY group_id, doc_id, n HAVING count(DISTINCT query_id) = n""")
+def search_and(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search_all(hits(spark, sf_dir), groups(spark))
+
+
+@query(f"{EXACT_CTES}, {_GROUPS_SQL} SELECT DISTINCT group_id, doc_id FROM hits JOIN groups USING (query_id)")
+def search_or(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search_any(hits(spark, sf_dir), groups(spark))
+
+
+@query(f"{EXACT_CTES} SELECT doc_id FROM hits WHERE query_id = 9 AND doc_id NOT IN (SELECT doc_id FROM hits WHERE query_id = 4)")
+def search_not(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search_without(hits(spark, sf_dir), 9, 4)
+
+
+_FUZZY = f"""WITH {postings_ctes()}, {QUERY_CTES},
+near AS (
+  SELECT q.query_id, q.place, q.n_grams, q.gram, v.term FROM qgrams q JOIN vocab v ON substr(q.gram, 1, 3) = v.prefix3 LEFT JOIN vocab o ON o.term = q.gram
+  WHERE length(q.gram) >= 3 AND 1 - CAST(levenshtein(q.gram, v.term) AS DOUBLE) / greatest(length(q.gram), length(v.term)) >= 0.85
+    AND (o.df IS NULL OR v.df < 4 * o.df OR v.term = q.gram)
+),
+spelled AS (SELECT query_id, place, n_grams, gram, term FROM near UNION SELECT s.query_id, s.place, s.n_grams, s.gram, v.term FROM seeds s JOIN vocab v ON s.seed = v.term)"""
+
+
+@query(f"{_FUZZY} SELECT query_id, place - 1 AS place, gram, term FROM spelled")
+def fuzzy_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = index.build_vocabulary(postings(spark, sf_dir))
+    return search.expand(search.query_grams(dictionary(spark)), vocab, 0.85).select("query_id", F.col("place").cast("long").alias("place"), "gram", "term")
+
+
+@query(f"""{_FUZZY} SELECT query_id, id AS doc_id FROM (SELECT DISTINCT s.query_id, s.n_grams, s.place, p.id FROM spelled s JOIN post p ON s.term = p.term)
+GROUP BY query_id, n_grams, id HAVING count(*) = n_grams""")
+def search_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hits(spark, sf_dir, 0.85)
+
+
+PATTERNS = [(1, "licen*"), (2, "pa*s*word"), (3, "thon*tion"), (4, "z*")]
+
+
+@query(f"""WITH {postings_ctes()}, pats(id, pattern) AS (VALUES {values_sql(PATTERNS)})
+SELECT p.id, p.pattern, v.term, v.df FROM pats p JOIN vocab v ON v.n_tokens = 1 AND regexp_matches(v.term, '^' || replace(p.pattern, '*', '[A-Za-z0-9]*') || '$')""")
+def wildcard_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.wildcard(values(spark, "id long, pattern string", PATTERNS), index.build_vocabulary(postings(spark, sf_dir)))
+
+
+@query(f"""{EXACT_CTES}, paths AS (
+  SELECT doc_id, class || '/' || middle || '/' || label AS path FROM hits JOIN dict USING (query_id)
+  UNION SELECT doc_id, class || '/' || middle || '/' FROM hits JOIN dict USING (query_id) WHERE middle NOT IN ('', 'other'))
+SELECT path, count(*) AS docs FROM paths GROUP BY path""")
+def hierarchy_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = labels.hierarchy_paths(hits(spark, sf_dir), dictionary(spark).withColumnRenamed("label", "name"))
+    return found.groupBy("path").agg(F.count(F.lit(1)).alias("docs"))
+
+
+RULES = [(1, 7, "Syllable", "Leak"), (1, 9, "Syllable", "Leak"), (2, 1, "GPL", "Free"), (3, 5, "MIT", "Never")]
+
+
+@query(f"""{EXACT_CTES}, rules(rule_id, query_id, wanted, label) AS (VALUES {values_sql(RULES)}),
+full_hits AS (SELECT r.rule_id, h.doc_id, r.wanted, r.label FROM hits h JOIN rules r USING (query_id)
+  GROUP BY r.rule_id, h.doc_id, r.wanted, r.label HAVING count(DISTINCT r.query_id) = (SELECT count(*) FROM rules s WHERE s.rule_id = r.rule_id)),
+have AS (SELECT DISTINCT doc_id, d.label AS has FROM hits JOIN dict d USING (query_id))
+SELECT DISTINCT f.doc_id, f.label FROM full_hits f JOIN have ON f.doc_id = have.doc_id AND f.wanted = have.has""")
+def rule_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = hits(spark, sf_dir)
+    return labels.rule_labels(found, labels.dictionary_labels(found, dictionary(spark)), values(spark, "rule_id long, query_id long, wanted string, label string", RULES))
+
+
+@query(f"""{EXACT_CTES}, l AS (SELECT DISTINCT doc_id, label FROM hits JOIN dict USING (query_id) WHERE class = 'Licence')
+SELECT d.doc_id, coalesce(l.label, 'No category') AS label FROM documents d LEFT JOIN l ON d.doc_id = l.doc_id""")
+def label_with_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = labels.dictionary_labels(hits(spark, sf_dir), dictionary(spark).where("class = 'Licence'"))
+    return labels.with_default(table(spark, sf_dir, "documents"), found, "No category")
+
+
+@query(f"""{EXACT_CTES}, p AS (SELECT DISTINCT doc_id, label AS value, CASE WHEN class = 'Licence' THEN 0 WHEN class = 'Security' THEN 1 ELSE 2 END AS phase FROM hits JOIN dict USING (query_id))
+SELECT doc_id, value, phase FROM p WHERE phase = (SELECT min(phase) FROM p q WHERE q.doc_id = p.doc_id)""")
+def phased_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = hits(spark, sf_dir).join(dictionary(spark), "query_id").select("doc_id", F.col("label").alias("value"), "class")
+    phases = [found.where("class = 'Licence'"), found.where("class = 'Security'"), found.where("class not in ('Licence', 'Security')")]
+    return labels.phased(table(spark, sf_dir, "documents"), phases)
+
+
+RENAMES = {"GPL": "Copyleft", "MIT": "Permissive", "Apache": "Permissive"}
+
+
+@query(f"""{EXACT_CTES}, l AS (SELECT DISTINCT doc_id, CASE label WHEN 'GPL' THEN 'Copyleft' WHEN 'MIT' THEN 'Permissive' WHEN 'Apache' THEN 'Permissive' ELSE label END AS label FROM hits JOIN dict USING (query_id))
+SELECT doc_id, string_agg(label, ';' ORDER BY label) AS labels FROM l GROUP BY doc_id""")
+def rename_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lists = labels.as_lists(labels.dictionary_labels(hits(spark, sf_dir), dictionary(spark)))
+    return lists.select("doc_id", F.array_join(labels.rename_values(F.col("label"), RENAMES), ";").alias("labels"))
+
+
+NAMES = [("maize storage intervention",), ("maize storage technology",), ("crop credit",), ("crop credit program",), ("irrigation practice",), ("irrigation",), ("cash transfer method",)]
+GENERIC = ["intervention", "technology", "practice", "program", "method"]
+
+
+@query(f"""WITH n(name) AS (VALUES {values_sql(NAMES)}), s AS (SELECT name, CASE WHEN contains(name, ' ') THEN regexp_replace(name, ' [^ ]+$', '') ELSE '' END AS stem, regexp_extract(name, '[^ ]+$') AS last_word FROM n),
+t AS (SELECT stem, bool_and(last_word IN ({", ".join(f"'{g}'" for g in GENERIC)})) AND count(*) > 1 AND stem <> '' AS merged FROM s GROUP BY stem)
+SELECT name, CASE WHEN merged THEN stem || ' intervention' ELSE name END AS searched FROM s JOIN t USING (stem)""")
+def sibling_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labels.merge_siblings(values(spark, "name string", NAMES), GENERIC)
+
+
+MARKERS, MODIFIERS = ["thon", "thor", "eron"], ["ther", "tion", "thing"]
+_LIST = lambda ws: ", ".join(f"'{w}'" for w in ws)
+
+
+@query(f"""WITH {token_ctes("documents")}, near AS (SELECT DISTINCT m.id FROM tok m JOIN tok d ON m.id = d.id AND abs(m.i - d.i) <= 5 WHERE m.term IN ({_LIST(MARKERS)}) AND d.term IN ({_LIST(MODIFIERS)}))
+SELECT doc_id, doc_id IN (SELECT id FROM near) AS tagged FROM documents""")
+def proximity_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", labels.proximity(F.col("text"), MARKERS, MODIFIERS).alias("tagged"))
+
+
+_DUP = f"""WITH docs AS (SELECT doc_id, text, {folded("t")} AS title FROM (SELECT doc_id, text, coalesce(list_filter(list_transform(string_split(regexp_replace(text, '([.!?])[\\x20\\x09-\\x0D]+', '\\1' || chr(1), 'g'), chr(1)), lambda s: trim(s)), lambda s: s <> '')[1], '') AS t FROM documents)),
+{token_ctes("docs", "doc_id", "title", "ttl")},
+blocks AS (SELECT id, string_agg(term, ' ' ORDER BY i) AS block FROM ttl WHERE i <= 2 GROUP BY id),
+arts AS (SELECT d.doc_id, d.title, d.text, b.block FROM docs d JOIN blocks b ON d.doc_id = b.id),
+lasts AS (SELECT max(doc_id) AS doc_id FROM arts GROUP BY text),
+uniq AS (SELECT a.* FROM arts a JOIN lasts USING (doc_id)),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, 1 - CAST(levenshtein(x.title, y.title) AS DOUBLE) / greatest(length(x.title), length(y.title)) AS title_similarity
+  FROM uniq x JOIN uniq y ON x.block = y.block AND x.doc_id < y.doc_id WHERE 1 - CAST(levenshtein(x.title, y.title) AS DOUBLE) / greatest(length(x.title), length(y.title)) >= 0.9),
+{token_ctes("uniq", "doc_id", "text", "body")},
+tf AS (SELECT id, term, count(*) AS tf FROM body GROUP BY id, term),
+idf AS (SELECT term, ln((1 + (SELECT count(*) FROM uniq)) / CAST(1 + count(*) AS DOUBLE)) + 1 AS idf FROM tf GROUP BY term),
+raw AS (SELECT id, term, tf * idf AS r FROM tf JOIN idf USING (term)),
+norms AS (SELECT id, sqrt(sum(r * r)) AS norm FROM raw GROUP BY id),
+w AS (SELECT raw.id, term, r / norm AS w FROM raw JOIN norms ON raw.id = norms.id),
+dups AS (SELECT a, b, title_similarity, sum(x.w * y.w) AS text_cosine FROM pairs JOIN w x ON x.id = a JOIN w y ON y.id = b AND x.term = y.term GROUP BY a, b, title_similarity HAVING sum(x.w * y.w) >= 0.85)"""
+
+
+@query(f"{_DUP} SELECT a, b, round(title_similarity, 6) AS title_similarity, round(text_cosine, 6) AS text_cosine FROM dups")
+def near_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = dedup.articles(table(spark, sf_dir, "documents"))
+    rows = rows.join(rows.groupBy("text").agg(F.max("doc_id").alias("doc_id")).select("doc_id"), "doc_id", "left_semi")
+    return dedup.duplicate_pairs(rows).select("a", "b", F.round("title_similarity", 6).alias("title_similarity"), F.round("text_cosine", 6).alias("text_cosine"))
+
+
+@query(f"""{_DUP} SELECT doc_id, doc_id NOT IN (SELECT a FROM dups) AND (doc_id NOT IN (SELECT doc_id FROM arts) OR doc_id IN (SELECT doc_id FROM lasts)) AS kept FROM documents""")
+def dedup_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.deduplicate(table(spark, sf_dir, "documents"))
+
+
+@query("""WITH u AS (SELECT text, max(doc_id) AS doc_id, count(*) AS copies, string_agg(DISTINCT source, ';' ORDER BY source) AS sources FROM documents GROUP BY text) SELECT doc_id, copies, sources FROM u""")
+def dedup_list_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").groupBy("text").agg(F.max("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.array_join(F.array_sort(F.collect_set("source")), ";").alias("sources"))
+    return rows.select("doc_id", "copies", "sources")
+
+
+@query(f"""WITH {token_ctes("documents")}, {token_ctes("benchmark", "item_id", "text", "items")},
+d AS (SELECT DISTINCT id, term FROM tok), b AS (SELECT DISTINCT id, term FROM items), n AS (SELECT id, count(*) AS n FROM b GROUP BY id)
+SELECT b.id AS item_id, d.id AS doc_id, count(*) AS shared FROM b JOIN d USING (term) JOIN n ON n.id = b.id GROUP BY b.id, d.id, n.n HAVING 10 * count(*) >= 9 * n.n""")
+def benchmark_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def words(name: str, id_: str) -> DataFrame:
+        return table(spark, sf_dir, name).select(F.col(id_), F.explode(F.array_distinct(tokens(normalize_text(F.col("text"))))).alias("term"))
+
+    docs, items = words("documents", "doc_id"), words("benchmark", "item_id")
+    sizes = items.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
+    shared = items.join(docs, "term").groupBy("item_id", "doc_id").agg(F.count(F.lit(1)).alias("shared"))
+    return shared.join(sizes, "item_id").where("10 * shared >= 9 * n").select("item_id", "doc_id", "shared")
+
+
+@query(f"""WITH s AS (SELECT doc_id, unnest(list_filter(list_transform(string_split(regexp_replace(text, '([.!?])[\\x20\\x09-\\x0D]+', '\\1' || chr(1), 'g'), chr(1)), lambda s: trim(s)), lambda s: s <> '')) AS sentence FROM documents),
+n AS (SELECT doc_id, sentence, unnest(regexp_extract_all(sentence, '\\b[0-9]\\w*')) AS number FROM s), c(concept) AS (VALUES ('license'), ('token'), ('version'))
+SELECT doc_id, number, concept, count(*) AS n FROM n JOIN c ON contains(lower(sentence), concept) GROUP BY doc_id, number, concept""")
+def number_concept_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.explode(sentences(F.col("text"))).alias("sentence"))
+    concepts = F.filter(F.array(*[F.lit(c) for c in ("license", "token", "version")]), lambda c: F.contains(F.lower(F.col("sentence")), c))
+    numbers = F.regexp_extract_all("sentence", F.lit(r"\b[0-9]\w*"), F.lit(0))
+    rows = rows.select("doc_id", concepts.alias("concepts"), F.explode(numbers).alias("number"))
+    return rows.select("doc_id", "number", F.explode("concepts").alias("concept")).groupBy("doc_id", "number", "concept").agg(F.count(F.lit(1)).alias("n"))

@@ -145,12 +145,12 @@ def prune_rare(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""WITH s AS (SELECT doc_id, unnest(string_split(regexp_replace(text, '([.!?])[\x20\x09-\x0D]+', '\1' || chr(1), 'g'), chr(1))) AS s FROM documents)
-SELECT doc_id, CAST(count(*) AS BIGINT) AS found, round(avg(CASE WHEN length(s) > 200 THEN 0.9 WHEN length(s) > 100 THEN 0.7 ELSE 0.55 END), 4) AS score FROM s WHERE trim(s) <> '' GROUP BY doc_id""")
-def mean_with_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+SELECT doc_id, CAST(count(*) AS BIGINT) AS found, CAST(round(avg(CASE WHEN length(s) > 200 THEN 90 WHEN length(s) > 100 THEN 70 ELSE 55 END) * count(*)) AS BIGINT) AS hundredths FROM s WHERE trim(s) <> '' GROUP BY doc_id""")
+def scores_with_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = F.split(F.regexp_replace("text", r"([.!?])[\x20\x09-\x0D]+", "$1\u0001"), "\u0001")
     rows = table(spark, sf_dir, "documents").select("doc_id", F.explode(marked).alias("s")).where("trim(s) <> ''")
-    score = F.when(F.length("s") > 200, 0.9).when(F.length("s") > 100, 0.7).otherwise(0.55)
-    return rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("found"), F.round(F.avg(score), 4).alias("score"))
+    score = F.when(F.length("s") > 200, 90).when(F.length("s") > 100, 70).otherwise(55)
+    return rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("found"), F.sum(score).alias("hundredths"))
 
 
 def sentence_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,7 +57,7 @@ class Items:
 
     def __init__(self, rows: list[tuple[int, str | None]]):
         kept = [(i, p) for i, t in rows if len(p := plain(t)) >= Q]
-        self.ids = np.array([i for i, _ in kept], np.int64)
+        self.ids = [i for i, _ in kept]
         self.texts = [p for _, p in kept]
         codes = [grams(t) for t in self.texts]
         code = np.concatenate([*codes, np.zeros(0, np.uint64)])
@@ -245,7 +245,7 @@ def find_contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_i
                     found = _merged(index.search([plain(t) for t in texts]))
                     if found:
                         spans = {d: _code_points(texts[d], [(r[2], r[3]) for r in found if r[0] == d]) for d in {r[0] for r in found}}
-                        rows = [(ids[lo + r[0]].as_py(), None if index.ids[r[1]] is None else int(index.ids[r[1]]), *spans[r[0]].pop(0), *r[4:]) for r in found]
+                        rows = [(ids[lo + r[0]].as_py(), index.ids[r[1]], *spans[r[0]].pop(0), *r[4:]) for r in found]
                         names = [c.split()[0] for c in FOUND.split(", ")]
                         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=names)
 

@@ -6,7 +6,7 @@ import importlib
 
 from litloom.queries.registry import QUERIES, SQL
 
-MODULES = ("texts", "searching", "relations", "reports", "vectors", "mining", "ingest")
+MODULES = ("texts", "searching", "relations", "reports", "vectors", "mining", "ingest", "enriching")
 
 for _name in MODULES:
     importlib.import_module(f"litloom.queries.{_name}")

@@ -101,6 +101,18 @@ def _table(counts: pd.DataFrame, languages: list[str]) -> dict[str, np.ndarray]:
     return dict(zip(wide.index, logs, strict=True))
 
 
+def _most_frequent(counts: DataFrame, keys: list[str], most: int) -> DataFrame:
+    """Rows (keys, item, n) with at least the least n of which each key has no more than `most` rows.
+
+    The cut follows from how many items have each n, so no task holds all items of a key.
+    """
+    down = Window.partitionBy(*keys).orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0)
+    steps = counts.groupBy(*keys, "n").agg(F.count(F.lit(1)).alias("items")).withColumn("kept", F.sum("items").over(down))
+    cuts = steps.where(F.col("kept") <= most).groupBy(*keys).agg(F.min("n").alias("cut"))
+    # One row for each language of the bounded sample, and size.
+    return counts.join(F.broadcast(cuts), keys).where("n >= cut").drop("cut")
+
+
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS, most_words: int = MOST_WORDS, most_grams: int = MOST_GRAMS) -> LanguageModel:
     """A model from the rows that are labelled and not held out.
 
@@ -117,8 +129,7 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         rows = rows.where(draw < sample_docs / n)
     words = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: w != "")
     counts = rows.select("lang", F.explode(words).alias("item")).groupBy("lang", "item").agg(F.count(F.lit(1)).alias("n"))
-    first = Window.partitionBy("lang").orderBy(F.desc("n"), "item")
-    top = counts.where("n > 1").withColumn("place", F.row_number().over(first)).where(F.col("place") <= most_words).drop("place")
+    top = _most_frequent(counts.where("n > 1"), ["lang"], most_words)
     marked = F.concat(F.lit("^"), "item", F.lit("$"))
     grams = None
     for size in SIZES:
@@ -126,8 +137,7 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         part = counts.select("lang", F.lit(size).alias("size"), "n", F.explode(F.transform(starts, lambda i, size=size: F.substr(marked, i, F.lit(size)))).alias("item"))
         grams = part if grams is None else grams.unionByName(part)
     grams = grams.where(F.length("item") == F.col("size")).groupBy("lang", "size", "item").agg(F.sum("n").alias("n"))
-    first = Window.partitionBy("lang", "size").orderBy(F.desc("n"), "item")
-    grams = grams.withColumn("place", F.row_number().over(first)).where(F.col("place") <= most_grams)
+    grams = _most_frequent(grams, ["lang", "size"], most_grams)
     top_words, top_grams = top.toPandas(), grams.select("lang", "size", "item", "n").toPandas()
     languages = sorted(set(top_grams["lang"]))
     tables: dict[str, np.ndarray] = {}

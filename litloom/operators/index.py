@@ -14,10 +14,10 @@ def index_text(df: DataFrame, text_cols: list[str], keyword_cols: list[str] = ()
     return F.concat_ws(" . ", *cleaned)
 
 
-def terms(text: Column) -> Column:
-    """All terms and all pairs of neighbouring terms, also across sentences."""
-    words = tokens(text)
-    return F.array_distinct(F.concat(words, F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.concat_ws(" ", a, b))))
+def neighbours(words: Column) -> Column:
+    """Pairs of neighbouring terms, also across sentences. Give a column: it is used more than once."""
+    n = F.size(words)
+    return F.zip_with(F.slice(words, 1, F.greatest(n - 1, F.lit(0))), F.slice(words, 2, F.greatest(n, F.lit(1))), lambda a, b: F.concat_ws(" ", a, b))
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -32,7 +32,9 @@ def build_postings(df: DataFrame, id_col: str = "doc_id", text_cols: list[str] =
     Terms are made distinct within a row before anything is shuffled.
     """
     df = spread(df.select(id_col, *text_cols))
-    grams = df.select(F.col(id_col).alias("doc_id"), F.explode(terms(index_text(df, list(text_cols), list(keyword_cols)))).alias("term"))
+    # The tokens are a column of their own, so that they are computed once for each row.
+    words = df.select(F.col(id_col).alias("doc_id"), tokens(index_text(df, list(text_cols), list(keyword_cols))).alias("w"))
+    grams = words.select("doc_id", F.explode(F.array_distinct(F.concat("w", neighbours(F.col("w"))))).alias("term"))
     return grams.select("term", "doc_id").distinct()
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from litloom.llm.storage import settle
+from litloom.llm.storage import settle, tabled
 
 WEIGHTS = (1.0, 2.0, 3.0)
 MOST_REPEATS = 3
@@ -70,11 +70,11 @@ def copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     """Columns source, doc_id, size, source_size, target, rate, copies: one row per input row.
 
     A null text has no words. Null is a source of its own. Rows that repeat an id decide alike. An empty
-    table gives no rows. The sources join as a table: Spark broadcasts it below its size threshold, and
-    else splits hot sources as skewed partitions.
+    table gives no rows. The sources join as a written table of known size: Spark broadcasts it below its
+    threshold, so the rows stay where they are, and else splits hot sources as skewed partitions.
     """
     rows = settle(_sizes(df, id_col, text_col, source_col))
-    targets = source_targets(rows, weights, most).withColumnRenamed("source", "of")
+    targets = tabled(source_targets(rows, weights, most).withColumnRenamed("source", "of"))
     joined = rows.join(targets, F.col("source").eqNullSafe(F.col("of"))).drop("of")
     return joined.withColumn("copies", _taken(F.col("rate"), F.col("doc_id"), seed))
 
@@ -83,7 +83,7 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     """The mixture itself: every input row, with all its columns, as many times as `copies` says."""
     sizes = settle(_sizes(df, id_col, text_col, source_col).groupBy("source").agg(F.sum("size").alias("size")))
     of, rate = (next(n for i in range(len(df.columns) + 1) if (n := f"{name}_{i}") not in df.columns) for name in ("of", "rate"))
-    targets = source_targets(sizes, weights, most).select(F.col("source").alias(of), F.col("rate").alias(rate))
+    targets = tabled(source_targets(sizes, weights, most).select(F.col("source").alias(of), F.col("rate").alias(rate)))
     joined = df.join(targets, F.col(source_col).eqNullSafe(F.col(of)))
     times = _taken(F.col(rate), F.col(id_col).cast("long"), seed).cast("int")
     return joined.withColumn(of, F.explode(F.array_repeat(F.lit(""), times))).select(*df.columns)

@@ -4,8 +4,8 @@ Patterns find assigned credentials, access key ids and long hex runs. Beside the
 symbols is a candidate: its encoding is inferred from the symbols it uses, and three tests ask whether it
 looks drawn at random from that alphabet (chi-squared uniformity of symbols, Wald-Wolfowitz runs
 about the alphabet's middle, lag-1 serial correlation). A candidate's p is three times the least of the
-three p-values. How many candidates of a length class are random follows from those with p of a half
-or more; the class accepts p from the least value on at which the expected share of others stays within
+three p-values. How many distinct candidates of a length class are random follows from those with p of a half
+or more, however often each occurs; the class accepts p from the least value on at which the expected share of others stays within
 FALSE_SHARE. So short runs, where the tests have little power, need more evidence.
 
 DataFrame expressions only.
@@ -128,8 +128,9 @@ def _tested(spans: Column) -> Column:
 
 
 def _limits(candidates: DataFrame, share: float) -> DataFrame:
-    """One row: for each length class the least p that it accepts (over 1: none). From per-task counts of a few cells."""
-    one = candidates.select(F.explode("candidates").alias("c")).select(F.col("c.group").alias("group"), F.col("c.p").alias("p"))
+    """One row: for each length class the least p that it accepts (over 1: none). Of distinct values, told apart by 128 bits of hash."""
+    one = candidates.select(F.explode("candidates").alias("c")).select(F.col("c.group").alias("group"), F.col("c.p").alias("p"), F.col("c.s.value").alias("value"))
+    one = one.groupBy("group", "p", F.xxhash64("value").alias("x"), F.xxhash64(F.lit(8), "value").alias("y")).agg(F.count(F.lit(1)))
     counts = one.groupBy("group").agg(F.count_if(F.col("p") >= 0.5).alias("half"), *[F.count_if(F.col("p") >= t).alias(f"n{i}") for i, t in enumerate(STEPS)])
     fits = [F.when((F.col(f"n{i}") > 0) & (F.col(f"n{i}") - 2 * F.col("half") * (1 - t) <= share * F.col(f"n{i}")), F.lit(t)) for i, t in enumerate(STEPS)]
     limit = F.coalesce(*fits, F.lit(2.0))

@@ -2,6 +2,8 @@ import random
 import re
 import string
 
+from pyspark.sql import functions as F
+
 from litloom.llm import decontam, licenses, secrets
 
 from .conftest import frame, sentence
@@ -89,6 +91,19 @@ def test_contamination(spark, edges):
     assert decontam.find_contamination(frame(spark, rows), benchmark.limit(0)).count() == 0
 
 
+def test_copies_leave_other_candidates_alone(spark):
+    """How often one value occurs does not decide which other values are taken for random."""
+    rng = random.Random(21)
+    values = ["a1" + "".join(rng.choices(string.ascii_letters + string.digits, k=38)) for _ in range(80)]
+    tested = secrets._tested(secrets._located(F.col("text"), secrets.CANDIDATE, 3))
+    p = {r["text"]: r["c"][0]["p"] for r in frame(spark, list(enumerate(values))).select("text", tested.alias("c")).collect()}
+    hot = next(v for v in values if 0.2 <= p[v] < 0.3)
+    rows = list(enumerate(values))
+    copies = rows + [(1000 + i, hot) for i in range(60)]
+    few, many = scanned(spark, rows), scanned(spark, copies)
+    assert {i: len(few[i]["added"]) for i, _ in rows} == {i: len(many[i]["added"]) for i, _ in rows}
+
+
 def test_grams_bound():
     """Windows at the edit budget are found: brute force over edits."""
     rng = random.Random(6)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLE_DOCS = 20_000
+LEAST_DOCS = 2_000
 MOST_WORDS = 20_000
 MOST_GRAMS = 10_000
 SIZES = (4, 3, 2, 1)
@@ -116,7 +117,8 @@ def _most_frequent(counts: DataFrame, keys: list[str], most: int) -> DataFrame:
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS, most_words: int = MOST_WORDS, most_grams: int = MOST_GRAMS) -> LanguageModel:
     """A model from the rows that are labelled and not held out.
 
-    Fitted on about `sample_docs` of them (all, if there are fewer), drawn by a hash of the id; it keeps
+    Fitted on about `sample_docs` of them (all, if there are fewer), drawn by a hash of the id, but on about LEAST_DOCS
+    (`sample_docs`, if that is less) of each language or all that it has, so every labelled language is learned. It keeps
     the `most_words` most frequent words and `most_grams` n-grams of each size and language, so model
     and driver memory are bounded. Null texts or languages teach nothing; without any
     labelled row the model has no language and predicts und.
@@ -125,8 +127,11 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id")))
     n = rows.count()
     if n > sample_docs:
+        least = F.lit(float(min(LEAST_DOCS, sample_docs)))
+        # One row for each language.
+        rates = rows.groupBy("lang").agg(F.greatest(F.lit(sample_docs / n), least / F.count(F.lit(1))).alias("rate"))
         draw = F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(1 << 20)) / float(1 << 20)
-        rows = rows.where(draw < sample_docs / n)
+        rows = rows.join(F.broadcast(rates), "lang").where(draw < F.col("rate")).drop("rate")
     words = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: w != "")
     counts = rows.select("lang", F.explode(words).alias("item")).groupBy("lang", "item").agg(F.count(F.lit(1)).alias("n"))
     top = _most_frequent(counts.where("n > 1"), ["lang"], most_words)

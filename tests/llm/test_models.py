@@ -87,3 +87,10 @@ def test_quality_without_labels(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     assert quality.classify(frame(spark, [(1, "a"), (2, None)]), labels).count() == 2
     assert quality.classify(frame(spark, []), labels).count() == 0
+
+
+def test_rare_language_is_learned(spark):
+    """A language with few of many labelled rows, which one draw over all languages would leave out."""
+    rows = [(i, "alpha beta gamma", "aa") for i in range(2000)] + [(5000 + i, "жук лес дом", "bb") for i in range(10)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_docs=10)
+    assert model.languages == ["aa", "bb"] and model.predict("лес")[0] == "bb"

@@ -1,7 +1,7 @@
 """Near-duplicate articles by blocked title and text similarity.
 
 Articles meet only within a block: those whose titles start with the same two terms. A pair is a duplicate if
-titles are close in edits or TF-IDF cosine and texts are close in cosine. Equal articles are collapsed first, so a
+titles are close in edits and texts are close in TF-IDF cosine; titles are not compared by cosine. Equal articles are collapsed first, so a
 group of copies costs one comparison.
 """
 

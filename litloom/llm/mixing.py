@@ -51,7 +51,7 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most:
         }
     ).withColumn("level", (F.col("words") - F.col("full")) / F.col("open"))
     # The first source that its level does not cap sets the level of all; if none, every source is at its cap.
-    level = steps.agg(F.min_by("level", F.when(F.col("level") <= F.col("capped_from"), F.struct("capped_from", F.coalesce("source", F.lit(""))))).alias("level"))
+    level = steps.agg(F.min_by("level", F.when(F.col("level") <= F.col("capped_from"), F.struct("capped_from", F.col("source").isNull(), F.coalesce("source", F.lit(""))))).alias("level"))
     target = F.least(F.col("weight") * F.coalesce("level", F.lit(float("inf"))), most * F.col("source_size").cast("double"))
     rate = F.when(F.col("source_size") > 0, F.least(target / F.col("source_size"), F.lit(float(most)))).otherwise(F.lit(0.0))
     return totals.crossJoin(F.broadcast(level)).select("source", "source_size", target.alias("target"), rate.alias("rate"))

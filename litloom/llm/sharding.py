@@ -15,8 +15,10 @@ from litloom.llm.storage import settle
 SHARDS = 40
 OVERHEAD = 16
 WHOLE_GROUP = 0.05
-RANGES = 1024
-SALTS = 256
+LEAST_RANGES = 1024
+LEAST_SALTS = 256
+ROWS_A_RANGE = 1 << 18
+ROWS_A_SALT = 1 << 18
 
 
 def size_of(text: Column) -> Column:
@@ -39,7 +41,8 @@ def shard_by_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     counts as an empty one of no bytes; rows that repeat an id stand side by side; an empty table gives no rows.
 
     No row holds its text after the scan. A group of copies of any size is counted per (text, salt of
-    the id), with partial sums before the shuffle, so it spreads over SALTS keys.
+    the id), with partial sums before the shuffle, so it spreads over the salts. Ranges and salts grow with the number
+    of rows, which decides on tasks only: the result is the same for any number of them, but for the order within a group.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = df.select(
@@ -47,13 +50,16 @@ def shard_by_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         size_of(F.col(text_col)).alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
         F.xxhash64(text).alias("hash"),
-    ).withColumns({"range": F.pmod(F.shiftright("hash", 40), F.lit(RANGES)), "salt": F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))})
+    )
     rows = settle(rows)
+    count = rows.count()
+    ranges_, salts = (1 << max(least.bit_length() - 1, (count // each).bit_length()) for least, each in ((LEAST_RANGES, ROWS_A_RANGE), (LEAST_SALTS, ROWS_A_SALT)))
+    rows = rows.withColumns({"range": F.shiftright(F.shiftright("hash", 32) + (1 << 31), 33 - ranges_.bit_length()), "salt": F.pmod(F.xxhash64("doc_id"), F.lit(salts))})
     same = ["hash", "text_crc32", "size"]
     units = rows.groupBy("range", *same, "salt").agg(F.count(F.lit(1)).alias("n")).withColumn("bytes", F.col("n") * F.col("size"))
     units = settle(units)
 
-    # At most RANGES rows: the totals of the ranges and what stands before each.
+    # One row for each range: the totals of the ranges and what stands before each.
     ranges = units.groupBy("range").agg(F.sum("bytes").alias("r_bytes"), F.sum("n").alias("r_n"))
     everything = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ranges = _before(ranges, [], ["range"], "r_bytes", "r_n").withColumn("all_bytes", F.sum("r_bytes").over(everything))

@@ -90,3 +90,34 @@ def test_mixing_empty(spark):
     df = frame(spark, [])
     assert mixing.copies(df).count() == 0 and mixing.mix(df).count() == 0
     assert mixing.mix(frame(spark, [(1, None, None), (2, "", "a")])).count() == 0
+
+
+def test_ties_of_sources(spark):
+    """Sources that are capped from the same level on, null among them, against the definition."""
+    import random
+
+    df = spark.createDataFrame([(1, "w " * 10, "a"), (2, "w " * 20, None)], "doc_id long, text string, source string")
+    assert {r["source"]: r["target"] for r in mixing.copies(df).collect()} == {"a": 10.0, None: 20.0}
+    rng = random.Random(2)
+    for _ in range(12):
+        names = rng.sample(["", "a", "b", "c", "d", None], rng.randint(1, 6))
+        order = sorted(n for n in names if n is not None) + [None] * (None in names)
+        sizes = {n: rng.choice((0, 1, 2, 5, 10)) * (1 + i % 3) for i, n in enumerate(order)}
+        df = spark.createDataFrame([(i, "w " * size, n) for i, (n, size) in enumerate(sizes.items())], "doc_id long, text string, source string")
+        found = {r["source"]: r["target"] for r in mixing.copies(df).collect()}
+        assert found == pytest.approx(targets(sizes)), sizes
+
+
+def test_shards_do_not_depend_on_ranges(spark):
+    rows = [(i, sentence(i // 2, 20 + i % 50)) for i in range(600)]
+    before = sharding.ROWS_A_RANGE, sharding.ROWS_A_SALT
+    place = lambda: {(r["doc_id"], r["shard"], r["slot"]) for r in sharding.shard_by_bytes(frame(spark, rows)).select("doc_id", "shard", "slot").collect()}
+    few = {s[:2] for s in place()}
+    sharding.ROWS_A_RANGE, sharding.ROWS_A_SALT = 1, 1
+    sharding.LEAST_RANGES, sharding.LEAST_SALTS = 2, 2
+    try:
+        many = {s[:2] for s in place()}
+    finally:
+        sharding.ROWS_A_RANGE, sharding.ROWS_A_SALT = before
+        sharding.LEAST_RANGES, sharding.LEAST_SALTS = 1024, 256
+    assert few == many

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from litloom.llm.arrays import let, sums_before
+
 # Known sentences in normal form, by identifier.
 SENTENCES = {
     "mit.grant": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions",
@@ -107,21 +109,32 @@ def normal(sentence: Column) -> Column:
 
 
 def _pieces(text: Column, by: str, width: int, offset: Column) -> Column:
-    """Parts of a text between separators of `width` code points, with their start."""
-    start = F.struct(offset.alias("at"), F.array().cast("array<struct<start:bigint,part:string>>").alias("out"))
+    """Parts of a text between separators of `width` code points, with their start, where a known sentence can be in the part."""
+
+    def placed(parts: Column) -> Column:
+        starts = sums_before(F.transform(parts, lambda part: (F.length(part) + width).cast("bigint")), offset)
+        return F.filter(F.zip_with(starts, parts, lambda start, part: F.struct(start.alias("start"), part.alias("part"))), lambda p: p["part"].rlike(HINT))
+
+    return let(F.split(text, by, -1), placed)
 
-    def add(acc: Column, part: Column) -> Column:
-        piece = F.struct(acc["at"].alias("start"), part.alias("part"))
-        return F.struct((acc["at"] + F.length(part) + width).alias("at"), F.array_append(acc["out"], piece).alias("out"))
 
-    return F.aggregate(F.split(text, by, -1), start, add, lambda acc: acc["out"])
+def _applied(ids: Column) -> Column:
+    """Names of the rules that hold in a text of identifiers (<id><id>...), each taking what it matches."""
+    all_rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit("".join(f"<{i}>" for i in seq)).alias("seq")) for name, seq in rules()])
+    start = F.struct(ids.alias("ids"), F.array().cast("array<string>").alias("names"))
+
+    def apply(acc: Column, rule: Column) -> Column:
+        names = F.when(F.contains(acc["ids"], rule["seq"]), F.array_append(acc["names"], rule["name"])).otherwise(acc["names"])
+        return F.struct(F.replace(acc["ids"], rule["seq"], F.lit("|")).alias("ids"), names.alias("names"))
+
+    return F.aggregate(all_rules, start, apply, lambda acc: F.array_sort(F.array_distinct(acc["names"])))
 
 
 def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Columns doc_id, licenses (sorted array), sentences: array of known sentences in order (id, start, end).
 
     Offsets are code points, the end exclusive, with the white space around the sentence. One row per input row; null and
-    empty texts have none; an empty table gives no rows.
+    empty texts have none; rows that repeat are scanned alike; an empty table gives no rows. The work is linear in a text's length.
     """
     table = F.create_map(*[F.lit(x) for pair in known_sentences().items() for x in pair])
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -133,22 +146,13 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     def of_sentence(p: Column) -> Column:
         lines = F.filter(F.transform(_pieces(p["part"], "\n", 1, p["start"]), looked_up), lambda f: f["id"].isNotNull())
-        whole = F.filter(F.array(looked_up(p)), lambda f: f["id"].isNotNull())
-        return F.when(F.size(whole) > 0, whole).otherwise(lines)
+        return let(looked_up(p), lambda whole: F.when(whole["id"].isNotNull(), F.array(whole)).otherwise(lines))
 
     sentences = F.flatten(F.transform(_pieces(marked(text), BREAK, 0, zero), of_sentence))
     found = F.when(text.rlike(HINT), sentences).otherwise(F.array().cast(found_type))
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), found.alias("sentences"))
-
     ids = F.array_join(F.transform("sentences", lambda s: F.concat(F.lit("<"), s["id"], F.lit(">"))), "")
-    all_rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit("".join(f"<{i}>" for i in seq)).alias("seq")) for name, seq in rules()])
-    start = F.struct(ids.alias("ids"), F.array().cast("array<string>").alias("names"))
-
-    def apply(acc: Column, rule: Column) -> Column:
-        names = F.when(F.contains(acc["ids"], rule["seq"]), F.array_append(acc["names"], rule["name"])).otherwise(acc["names"])
-        return F.struct(F.replace(acc["ids"], rule["seq"], F.lit("|")).alias("ids"), names.alias("names"))
-
-    licenses = F.when(F.size("sentences") > 0, F.aggregate(all_rules, start, apply, lambda acc: F.array_sort(F.array_distinct(acc["names"]))))
+    licenses = F.when(F.size("sentences") > 0, _applied(ids))
     return rows.select("doc_id", F.coalesce(licenses, F.array().cast("array<string>")).alias("licenses"), "sentences")
 
 

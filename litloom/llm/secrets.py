@@ -14,10 +14,12 @@ DataFrame expressions only.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from litloom.llm.arrays import let, sums_before
 from litloom.llm.storage import settle
 
 # The patterns, in the order in which spans of equal start are listed.
@@ -53,18 +55,16 @@ def _located(text: Column, pattern: str, kind: int, kept=None) -> Column:
     group = F.regexp_extract_all(text, F.lit(pattern), F.lit(2)) if kept else found
     parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("hit"), group.alias("group"))
     parts = F.filter(parts, lambda p: p["hit"].isNotNull())
-    empty = F.array().cast(f"array<{SPAN}>")
 
-    def add(acc: Column, p: Column) -> Column:
-        start = acc["at"] + F.length(p["gap"])
-        end = start + F.length(p["hit"])
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), p["hit"].alias("value"))
-        more = F.array_append(acc["spans"], span)
-        more = F.when(kept(p["hit"], p["group"]), more).otherwise(acc["spans"]) if kept else more
-        return F.struct(end.alias("at"), more.alias("spans"))
+    def placed(parts: Column) -> Column:
+        starts = sums_before(F.transform(parts, lambda p: (F.length(p["gap"]) + F.length(p["hit"])).cast("bigint")))
+        return F.zip_with(starts, parts, lambda at, p: F.struct((at + F.length(p["gap"])).alias("start"), p["hit"].alias("hit"), p["group"].alias("group")))
 
-    nothing = F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("spans"))
-    return F.when(text.rlike(pattern), F.aggregate(parts, nothing, add, lambda acc: acc["spans"])).otherwise(empty)
+    spans = let(parts, placed)
+    if kept:
+        spans = F.filter(spans, lambda p: kept(p["hit"], p["group"]))
+    spans = F.transform(spans, lambda p: F.struct(p["start"].alias("start"), F.lit(kind).alias("kind"), (p["start"] + F.length(p["hit"])).alias("end"), p["hit"].alias("value")))
+    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def _tail(z: Column) -> Column:
@@ -88,7 +88,7 @@ def _tested(spans: Column) -> Column:
 
     def symbols(r: Column) -> Column:
         letters = F.element_at(alphabets, r["code"] + 1)
-        values = F.transform(F.sequence(F.lit(1), F.length(r["s"]["value"])), lambda i: (F.position(F.substr(r["s"]["value"], i, F.lit(1)), letters) - 1).cast("double"))
+        values = F.transform(F.split(r["s"]["value"], ""), lambda c: (F.position(c, letters) - 1).cast("double"))
         return F.struct(r["s"].alias("s"), r["code"].alias("code"), F.length(letters).cast("double").alias("k"), values.alias("v"))
 
     rows = F.transform(rows, symbols)
@@ -138,12 +138,26 @@ def _limits(candidates: DataFrame, share: float) -> DataFrame:
     return found.agg(*[F.coalesce(F.max(F.when(F.col("group") == g, F.col("limit"))), F.lit(2.0)).alias(f"l{g}") for g in range(len(CLASSES) + 1)]).select(F.array(*[f"l{g}" for g in range(len(CLASSES) + 1)]).alias("limits"))
 
 
+def _apart(runs: Column, base: Column, length: Column) -> Column:
+    """The runs that overlap no base span. Among many spans a run meets only those of its stretches of the text."""
+
+    def free(of: Callable[[Column], Column]) -> Column:
+        return F.filter(runs, lambda c: ~F.exists(of(c), lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+
+    width = F.greatest(F.lit(4096), F.floor(length / 256) + 1).cast("bigint")
+    nth = lambda at: F.floor(at / width).cast("int")
+    stretches = F.transform(F.sequence(F.lit(0), nth(length)), lambda k: F.filter(base, lambda b: (b["start"] < (k + 1) * width) & (b["end"] > k * width)))
+    met = let(stretches, lambda s: free(lambda c: F.flatten(F.slice(s, nth(c["start"]) + 1, nth(c["end"] - 1) - nth(c["start"]) + 1))))
+    return F.when(F.size(base) <= 64, free(lambda _: base)).otherwise(met)
+
+
 def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", false_share: float = FALSE_SHARE) -> DataFrame:
     """Columns doc_id, base, added: arrays of spans (start, kind, end, value), by start, then kind.
 
     Offsets are code points, the end exclusive; kind indexes KINDS; an assignment's span is the whole match. One
-    row per input row; null texts count as empty; an empty table gives no rows. A candidate that overlaps a
-    pattern's span is not added again. The text is scanned once; what is found is checkpointed.
+    row per input row; null texts count as empty; an empty table gives no rows; rows that repeat an id or a text are scanned alike.
+    A candidate that overlaps a pattern's span is not added again. Base spans depend on the text alone; which candidates are
+    added also depends on the limits, which follow from all rows. The text is scanned once; what is found is checkpointed.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
@@ -152,8 +166,8 @@ def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         _located(F.col("text"), ACCESS, 1),
         _located(F.col("text"), HEX, 2),
     )
-    found = rows.select("doc_id", F.array_sort(base).alias("base"), _located(F.col("text"), CANDIDATE, 3).alias("runs"))
-    apart = F.filter("runs", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    found = rows.select("doc_id", F.length("text").alias("length"), F.array_sort(base).alias("base"), _located(F.col("text"), CANDIDATE, 3).alias("runs"))
+    apart = _apart(F.col("runs"), F.col("base"), F.col("length"))
     found = settle(found.select("doc_id", "base", _tested(apart).alias("candidates")))
     limits = _limits(found, false_share)
     # One row of a fixed number of limits.

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from litloom.llm import kernels
-from litloom.llm.storage import shuffle_partitions
+from litloom.llm.storage import shuffle_partitions, small_batches
 
 SKETCH_SIZE = 128
 SHINGLE = 5
@@ -155,6 +155,7 @@ def neighbours(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     only the bucket bounds and each bucket's largest id reach the driver.
     """
     spark = df.sparkSession
+    small_batches(spark)
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
     rows = df.select(key.alias("key"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     counted = rows.agg(F.count(F.lit(1)).alias("n")).first()["n"]

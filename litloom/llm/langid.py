@@ -12,9 +12,12 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from litloom.llm.storage import settle, small_batches
+
 SAMPLE_DOCS = 20_000
 LEAST_DOCS = 2_000
 MOST_WORDS = 20_000
@@ -23,8 +26,9 @@ SIZES = (4, 3, 2, 1)
 SMOOTHING = 0.5
 EVIDENCE = 24.0
 UNKNOWN = "und"
-LETTERS = re.compile(r"[^\W\d_]+")
-MEMO = 300_000
+WORDS = re.compile(r"[^\W\d_]+")
+LETTERS = regex.compile(r"\p{L}+")
+MEMO = 100_000
 
 
 def held_out(id_: Column) -> Column:
@@ -32,6 +36,16 @@ def held_out(id_: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.encode(id_.cast("string"), "UTF-8")), F.lit(5)) == 0, F.lit(False))
 
 
+def counted_words(text: str | None) -> Counter[str]:
+    """The runs of letters (\\p{L}) of a text in lower case; numerals such as a half or a superscript are no letters."""
+    counts = Counter(WORDS.findall((text or "").lower()))
+    for mixed in [w for w in counts if not w.isalpha()]:
+        times = counts.pop(mixed)
+        for word in LETTERS.findall(mixed):
+            counts[word] += times
+    return counts
+
+
 class LanguageModel:
     """Per-language log frequencies of words and character n-grams."""
 
@@ -70,7 +84,7 @@ class LanguageModel:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and score (its share of the posterior, tempered for long texts); und, 0 without a letter."""
-        counts = Counter(LETTERS.findall((text or "").lower()))
+        counts = counted_words(text)
         if not counts or not self.languages:
             return UNKNOWN, 0.0
         total, n = np.zeros(len(self.languages)), 0
@@ -103,15 +117,18 @@ def _table(counts: pd.DataFrame, languages: list[str]) -> dict[str, np.ndarray]:
 
 
 def _most_frequent(counts: DataFrame, keys: list[str], most: int) -> DataFrame:
-    """Rows (keys, item, n) with at least the least n of which each key has no more than `most` rows.
+    """Of the rows (keys, item, n) of each key the `most` with the largest n, within chance of a draw.
 
-    The cut follows from how many items have each n, so no task holds all items of a key.
+    The cut follows from how many items have each n, so no task holds all items of a key. Of the items whose n is
+    that of the cut, a hash of the item draws the share that there is room for.
     """
-    down = Window.partitionBy(*keys).orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0)
-    steps = counts.groupBy(*keys, "n").agg(F.count(F.lit(1)).alias("items")).withColumn("kept", F.sum("items").over(down))
-    cuts = steps.where(F.col("kept") <= most).groupBy(*keys).agg(F.min("n").alias("cut"))
+    down = Window.partitionBy(*keys).orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
+    steps = counts.groupBy(*keys, "n").agg(F.count(F.lit(1)).alias("items")).withColumn("before", F.coalesce(F.sum("items").over(down), F.lit(0)))
+    cuts = steps.where(F.col("before") < most).groupBy(*keys).agg(F.min(F.struct("n", "items", "before")).alias("cut"))
+    cuts = cuts.select(*keys, F.col("cut.n").alias("cut"), ((most - F.col("cut.before")) / F.col("cut.items")).alias("room"))
+    draw = F.pmod(F.xxhash64(F.lit(9), "item"), F.lit(1 << 20)) / float(1 << 20)
     # One row for each language of the bounded sample, and size.
-    return counts.join(F.broadcast(cuts), keys).where("n >= cut").drop("cut")
+    return counts.join(F.broadcast(cuts), keys).where((F.col("n") > F.col("cut")) | ((F.col("n") == F.col("cut")) & (draw < F.col("room")))).drop("cut", "room")
 
 
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS, most_words: int = MOST_WORDS, most_grams: int = MOST_GRAMS) -> LanguageModel:
@@ -119,29 +136,31 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     Fitted on about `sample_docs` of them (all, if there are fewer), drawn by a hash of the id, but on about LEAST_DOCS
     (`sample_docs`, if that is less) of each language or all that it has, so every labelled language is learned. It keeps
-    the `most_words` most frequent words and `most_grams` n-grams of each size and language, so model
-    and driver memory are bounded. Null texts or languages teach nothing; without any
-    labelled row the model has no language and predicts und.
+    about the `most_words` most frequent words and `most_grams` n-grams of each size and language, so model
+    and driver memory are bounded; of those with the frequency at the bound a hash draws as many as there is room for.
+    Null texts or languages teach nothing; without any labelled row the model has no language and predicts und.
+    Rows that repeat an id are drawn together and each counts. The texts are read once.
     """
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id")))
-    n = rows.count()
+    rows = rows.where(F.col("lang").isNotNull() & ~held_out(F.col("id")))
+    least = F.lit(float(min(LEAST_DOCS, sample_docs)))
+    # One row for each language; only ids and languages are read for it.
+    by_lang = settle(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")))
+    n = by_lang.agg(F.sum("docs").alias("n")).first()["n"] or 0
     if n > sample_docs:
-        least = F.lit(float(min(LEAST_DOCS, sample_docs)))
-        # One row for each language.
-        rates = rows.groupBy("lang").agg(F.greatest(F.lit(sample_docs / n), least / F.count(F.lit(1))).alias("rate"))
+        rates = by_lang.select("lang", F.greatest(F.lit(sample_docs / n), least / F.col("docs")).alias("rate"))
         draw = F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(1 << 20)) / float(1 << 20)
         rows = rows.join(F.broadcast(rates), "lang").where(draw < F.col("rate")).drop("rate")
     words = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: w != "")
-    counts = rows.select("lang", F.explode(words).alias("item")).groupBy("lang", "item").agg(F.count(F.lit(1)).alias("n"))
-    top = _most_frequent(counts.where("n > 1"), ["lang"], most_words)
+    counts = settle(rows.where(F.col("text").isNotNull()).select("lang", F.explode(words).alias("item")).groupBy("lang", "item").agg(F.count(F.lit(1)).alias("n")))
+    top = _most_frequent(counts, ["lang"], most_words)
     marked = F.concat(F.lit("^"), "item", F.lit("$"))
     grams = None
     for size in SIZES:
         starts = F.sequence(F.lit(1), F.greatest(F.length(marked) - (size - 1), F.lit(1)))
         part = counts.select("lang", F.lit(size).alias("size"), "n", F.explode(F.transform(starts, lambda i, size=size: F.substr(marked, i, F.lit(size)))).alias("item"))
         grams = part if grams is None else grams.unionByName(part)
-    grams = grams.where(F.length("item") == F.col("size")).groupBy("lang", "size", "item").agg(F.sum("n").alias("n"))
+    grams = settle(grams.where(F.length("item") == F.col("size")).groupBy("lang", "size", "item").agg(F.sum("n").alias("n")))
     grams = _most_frequent(grams, ["lang", "size"], most_grams)
     top_words, top_grams = top.toPandas(), grams.select("lang", "size", "item", "n").toPandas()
     languages = sorted(set(top_grams["lang"]))
@@ -153,6 +172,7 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 def predictor(spark, model: LanguageModel):
     """A function from a text column to struct(lang, score)."""
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang string, score double")

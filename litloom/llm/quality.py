@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from litloom.llm import kernels
 from litloom.llm.langid import held_out
-from litloom.llm.storage import settle
+from litloom.llm.storage import settle, small_batches
 
 COSINES = 160
 BANDWIDTH = 1.0
@@ -255,5 +255,6 @@ def score(statistics_: DataFrame, model: QualityModel, threshold: float = THRESH
 
 def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
     """Quality scores of every whole text, learned from `labels`; the statistics are checkpointed, the texts read once."""
+    small_batches(df.sparkSession)
     found = settle(document_statistics(df, id_col, text_col))
     return score(found, train(found, labels, id_col, label_col))

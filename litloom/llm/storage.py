@@ -5,7 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+ARROW_ROWS = 2000
+MOST_BITS = 26
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,5 +43,29 @@ def tabled(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to Python ARROW_ROWS at a time, where the session has set no other number, so that long ones fit in memory."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+
+
+def id_bit(id_: Column, bits: int) -> Column:
+    return F.pmod(F.xxhash64(id_), F.lit(1 << bits)).cast("int")
+
+
+def id_bitmap(ids: DataFrame, column: str, count: int) -> tuple[int, np.ndarray]:
+    """A bitmap over hashes of ids, 16 bits for each up to 2 ** MOST_BITS (8 MB) in all, as (log2 of its size, 64-bit words).
+
+    It can only say yes where it should say no, more often where there are more ids than it has room for.
+    """
+    bits = min(MOST_BITS, max(16, (16 * count).bit_length()))
+    bit = id_bit(F.col(column), bits)
+    words = ids.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, bit % 64)")).alias("bits"))
+    found = words.toArrow()  # at most the bitmap
+    bitmap = np.zeros(1 << (bits - 6), np.int64)
+    bitmap[np.asarray(found["word"])] = np.asarray(found["bits"])
+    return bits, bitmap
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

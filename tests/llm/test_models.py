@@ -94,3 +94,60 @@ def test_rare_language_is_learned(spark):
     rows = [(i, "alpha beta gamma", "aa") for i in range(2000)] + [(5000 + i, "жук лес дом", "bb") for i in range(10)]
     model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_docs=10)
     assert model.languages == ["aa", "bb"] and model.predict("лес")[0] == "bb"
+
+
+def test_numerals_are_no_letters(spark):
+    rows = [(i, "alpha beta x", "aa") for i in range(8)] + [(100, "½ ² ³ ①", None), (101, "x²", None), (102, "١٢٣", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r["doc_id"]: r["lang_pred"] for r in langid.identify(df, langid.train(df)).collect()}
+    assert [found[i] for i in (100, 101, 102)] == ["und", "aa", "und"]
+    assert dict(langid.counted_words("a² b½c a été")) == {"a": 2, "b": 1, "c": 1, "été": 1}
+
+
+def test_words_met_once_are_learned(spark):
+    df = spark.createDataFrame([(i, f"word{chr(97 + i)}", "aa") for i in range(19)], "doc_id long, text string, lang string")
+    assert len(langid.train(df).words) == df.where(~langid.held_out(df.doc_id)).count()
+
+
+def test_ties_at_the_bound(spark):
+    """Among words as frequent as that of the cut, about as many are kept as there is room for."""
+    rows = [(i, f"often w{chr(97 + i % 26)}{chr(97 + i // 26)}", "aa") for i in range(600)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), most_words=200)
+    assert 150 < len(model.words) < 250 and "often" in model.words
+
+
+def test_long_text(spark):
+    text = "haus wasser der und " * 300_000 + "½" * 100_000
+    df = spark.createDataFrame([(i, "haus wasser der und", "bb") for i in range(9)] + [(50, text, None)], "doc_id long, text string, lang string")
+    assert {r["lang_pred"] for r in langid.identify(df, langid.train(df)).collect()} == {"bb"}
+
+
+def test_cosines_approximate_a_gaussian_kernel():
+    rng = np.random.default_rng(3)
+    model = quality.QualityModel(np.zeros(12), np.ones(12))
+    before, quality.COSINES = quality.COSINES, 20_000
+    try:
+        model = quality.QualityModel(np.zeros(12), np.ones(12))
+        x = rng.normal(size=(40, 12))
+        z = model.features(x)[:, :20_000]
+        wanted = np.exp(-0.5 * ((x[:, None] - x[None]) ** 2).sum(2) * quality.BANDWIDTH**2 / 12)
+        assert np.abs(z @ z.T - wanted).max() < 0.06
+    finally:
+        quality.COSINES = before
+
+
+def test_sums_give_the_ridge_of_all_rows(spark):
+    """Normal equations summed over tasks against a direct solution, and out-of-fold scores against models without the fold."""
+    texts = [(i, sentence(i, 30 + i % 50) if i % 3 else " ".join(w.upper() + "!!" for w in sentence(i, 40).split())) for i in range(240)]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i, _ in texts], "doc_id long, quality int")
+    found = quality.document_statistics(frame(spark, texts))
+    model = quality.train(found.repartition(7), labels)
+    taught = {i for i in range(240) if zlib.crc32(str(i).encode()) % 5}
+    rows = sorted((r["doc_id"], r["x"]) for r in found.collect() if r["doc_id"] in taught)
+    x, y = np.array([r[1] for r in rows]), np.array([float(r[0] % 3 > 0) for r in rows])
+    assert model.mean == pytest.approx(x.mean(0)) and model.spread == pytest.approx(x.std(0) + 1e-6)
+    z = model.features(x)
+    assert model.weights == pytest.approx(np.linalg.solve(z.T @ z + quality.RIDGE * np.eye(z.shape[1]), z.T @ y), abs=1e-6)
+    raw = z @ model.weights
+    order = np.argsort(raw)
+    assert (np.diff(model.scores(x)[order]) >= -1e-12).all()

@@ -7,25 +7,28 @@ are compared as UTF-8 with A-Z lower-cased and each run of white space as one sp
 An edit destroys at most Q shared q-grams, so a window of n bytes with e edits shares at least
 n - Q + 1 - Q * e of them, on diagonals that drift by at most e. Shared q-grams are counted in overlapping
 bands of diagonals; stretches that reach the bound are verified by a banded alignment of all their windows.
-Items of fewer than Q bytes cannot be found; where the bound leaves no q-gram, no edit is allowed.
+Where the bound leaves no q-gram, items are found by parts of them that must occur as they are: an item with e edits in one of
+its e + 1 parts, and one of fewer than Q bytes, which allows no edit, whole and as words of their own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from litloom.llm.storage import small_batches
+
 Q = 8
 WINDOW = 80
 BUDGET = 0.08
 BAND = 16
 PIECE = 1 << 19
-ITEM_BYTES = 16 << 20
-BITS = 20
+ITEM_BYTES = 4 << 20
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 FOUND = "doc_id long, item_id long, start long, end long, item_start long, item_end long, edits long"
@@ -45,47 +48,82 @@ def grams(data: bytes | np.ndarray) -> np.ndarray:
 
 
 def budget(length: int) -> tuple[int, int, int]:
-    """For an item of that length: window, edits allowed, q-grams that such a window must share."""
+    """For an item of that length: window, edits allowed, q-grams that such a window must share (below 1: none need be)."""
     n = min(WINDOW, length)
     edits = int(BUDGET * n)
-    share = n - Q + 1 - Q * edits
-    return (n, edits, share) if share > 0 else (n, 0, n - Q + 1)
+    return n, edits, n - Q + 1 - Q * edits
 
 
 class Items:
-    """A block of benchmark items, indexed by their q-grams."""
+    """A block of benchmark items, indexed by their q-grams: some 20 bytes for each byte of text."""
 
     def __init__(self, rows: list[tuple[int, str | None]]):
-        kept = [(i, p) for i, t in rows if len(p := plain(t)) >= Q]
+        kept = [(i, p) for i, t in rows if len(p := plain(t))]
+        kept.sort(key=lambda r: budget(len(r[1]))[2] < 1)  # those without a q-gram bound come last
         self.ids = [i for i, _ in kept]
         self.texts = [p for _, p in kept]
-        codes = [grams(t) for t in self.texts]
+        bounds = np.array([budget(len(t)) for t in self.texts], np.int64).reshape(-1, 3)
+        self.window, self.edits, self.share = bounds.T
+        codes = [grams(t) for t, least in zip(self.texts, self.share, strict=True) if least > 0]
         code = np.concatenate([*codes, np.zeros(0, np.uint64)])
         order = np.argsort(code, kind="stable")
-        self.item = np.repeat(np.arange(len(codes)), [len(c) for c in codes])[order]
-        self.place = np.concatenate([*[np.arange(len(c)) for c in codes], np.zeros(0, np.int64)])[order].astype(np.int64)
-        self.codes, self.first = np.unique(code[order], return_index=True)
-        self.last = np.append(self.first[1:], len(code))
-        self.known = np.zeros(1 << BITS, bool)
-        self.known[(self.codes * SPREAD) >> np.uint64(64 - BITS)] = True
-        self.share = np.array([budget(len(t))[2] for t in self.texts], np.int64)
-        self.window = np.array([budget(len(t))[0] for t in self.texts], np.int64)
-        self.edits = np.array([budget(len(t))[1] for t in self.texts], np.int64)
+        self.item = np.repeat(np.arange(len(codes), dtype=np.int32), [len(c) for c in codes])[order]
+        self.place = np.concatenate([*[np.arange(len(c), dtype=np.int32) for c in codes], np.zeros(0, np.int32)])[order]
+        self.codes, first = np.unique(code[order], return_index=True)
+        self.edges = np.append(first, len(code)).astype(np.int32)
+        self.shift = np.uint64(64 - min(24, max(16, (8 * len(self.codes)).bit_length())))
+        self.known = np.zeros(1 << (64 - int(self.shift)), bool)
+        self.known[(self.codes * SPREAD) >> self.shift] = True
+        self.parts = self._parts(len(codes))
+
+    def _parts(self, first: int) -> ahocorasick.Automaton | None:
+        """Parts of the items from `first` on, each with the (item, place in it) that it stands for."""
+        parts: dict[str, list[tuple[int, int]]] = {}
+        for i in range(first, len(self.texts)):
+            text, n = self.texts[i].decode("latin-1"), int(self.edits[i]) + 1
+            for k in range(n):
+                lo, hi = k * len(text) // n, (k + 1) * len(text) // n
+                parts.setdefault(text[lo:hi], []).append((i, lo))
+        if not parts:
+            return None
+        automaton = ahocorasick.Automaton()
+        for text, uses in parts.items():
+            automaton.add_word(text, (len(text), uses))
+        automaton.make_automaton()
+        return automaton
+
+    def short(self, document: bytes) -> Iterator[tuple[int, int, int, int, int, int]]:
+        """(item, start, end, item start, item end, edits) of the items without a q-gram bound, in plain bytes."""
+        for last, (length, uses) in self.parts.iter(document.decode("latin-1")):
+            start = last + 1 - length
+            for item, place in uses:
+                text, edits = self.texts[item], int(self.edits[item])
+                begin = start - place
+                end = begin + len(text)
+                if not edits:
+                    if (begin == 0 or document[begin - 1 : begin] == b" ") and (end == len(document) or document[end : end + 1] == b" "):
+                        yield item, begin, end, 0, len(text), 0
+                    continue
+                lo = max(0, begin - WINDOW)
+                found = self.verify(document[lo : end + WINDOW], item, np.zeros(1, np.int64), begin - lo)
+                if found:
+                    yield item, lo + found[0], lo + found[1], *found[2:]
 
     def stretches(self, buffer: bytes) -> np.ndarray:
         """Rows (position, item, item position) of the q-grams in bands that reach an item's bound, by band."""
         if not len(self.codes):
             return np.zeros((0, 4), np.int64)
         code = grams(buffer)
-        at = np.flatnonzero(self.known[(code * SPREAD) >> np.uint64(64 - BITS)])
+        at = np.flatnonzero(self.known[(code * SPREAD) >> self.shift])
         which = np.searchsorted(self.codes, code[at])
         which[which == len(self.codes)] = 0
         hit = self.codes[which] == code[at]
         at, which = at[hit], which[hit]
-        times = self.last[which] - self.first[which]
+        first = self.edges[which].astype(np.int64)
+        times = self.edges[which + 1] - first
         position = np.repeat(at, times)
-        entry = np.repeat(self.first[which] - np.concatenate(([0], np.cumsum(times)[:-1])), times) + np.arange(times.sum()) if len(times) else np.zeros(0, np.int64)
-        item, place = self.item[entry], self.place[entry]
+        entry = np.repeat(first - np.concatenate(([0], np.cumsum(times)[:-1])), times) + np.arange(times.sum()) if len(times) else np.zeros(0, np.int64)
+        item, place = self.item[entry].astype(np.int64), self.place[entry].astype(np.int64)
         diagonal = position - place + (1 << 32)
         found = []
         for shift in (0, BAND // 2):
@@ -155,6 +193,9 @@ class Items:
             if len(rows):
                 yield from self._aligned(block, begins, rows)
             at = upto
+        if self.parts:
+            for d, text in enumerate(documents):
+                yield from ((d, *found) for found in self.short(text))
 
     def _aligned(self, block, begins, rows) -> Iterator[tuple[int, int, int, int, int, int, int]]:
         piece = np.searchsorted(begins, rows[:, 0], "right") - 1
@@ -223,10 +264,11 @@ def find_contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_i
     bytes of the item's plain form, the end exclusive. Null and empty texts hold nothing and match nothing; repeated
     items each match; empty tables give no rows.
 
-    Every item is searched in every whole text. Items travel to the tasks in blocks of at most about ITEM_BYTES;
-    a larger benchmark takes one pass over the documents for each block.
+    Every item is searched in every whole text. Items travel to the tasks in blocks of about ITEM_BYTES of text, with an
+    index some 20 times as large; a larger benchmark takes one pass over the documents for each block.
     """
     spark = df.sparkSession
+    small_batches(spark)
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text")).where(F.col("text").isNotNull())
     total = items.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     passes = max(1, -(-total // ITEM_BYTES))
@@ -257,6 +299,7 @@ def find_contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_i
 def clean(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_text_col: str = "text") -> DataFrame:
     """The rows of `df`, unchanged, that no benchmark item contaminates. Rows never leave their task."""
     spark = df.sparkSession
+    small_batches(spark)
     items = benchmark.select(F.col(item_text_col).alias("text")).where(F.col("text").isNotNull()).distinct()
     total = items.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     passes = max(1, -(-total // ITEM_BYTES))

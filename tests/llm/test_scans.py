@@ -115,3 +115,60 @@ def test_grams_bound():
         doc = f"{sentence(rng.random(), 10)} {edited(rng, window, 5)} {sentence(rng.random(), 10)}"
         missed += not list(index.search([decontam.plain(doc)]))
     assert missed == 0
+
+
+def test_long_texts_are_linear(spark):
+    """A megabyte of sentences, of one encoded run, of many runs and of many spans: each within seconds in one task."""
+    import time
+
+    rng = random.Random(8)
+    alphabet = string.ascii_letters + string.digits + "+/"
+    run = "".join(rng.choices(alphabet, k=1_000_000))
+    many = " ".join("".join(rng.choices("0123456789abcdef", k=40)) + " x" + "".join(rng.choices(alphabet[:62], k=30)) for _ in range(8000))
+    known = (licenses.SENTENCES["gpl.details"].capitalize() + ". ") * 2000
+    text = known + "Some words here. Short license line\n" * 30_000
+    for what, value in (("run", run), ("many", many)):
+        began = time.time()
+        found = scanned(spark, [(1, value)])[1]
+        assert time.time() - began < 30, what
+        if what == "many":
+            assert [(s["start"], s["kind"], s["end"]) for s in found["base"]] == base(value)
+            spans = [(s["start"], s["end"]) for s in found["added"]]
+            assert spans and all(value[a:b].startswith("x") for a, b in spans)
+        else:
+            assert [(s["start"], s["end"]) for s in found["added"] if s["kind"] == 3] in ([(0, len(run))], [])
+    began = time.time()
+    found = licenses.scan_licenses(frame(spark, [(1, text)])).collect()[0]
+    assert time.time() - began < 30
+    assert len(found["sentences"]) == 2000 and all(re.sub("[^a-z0-9]+", " ", text[s["start"] : s["end"]].lower()).strip() == licenses.SENTENCES["gpl.details"] for s in found["sentences"])
+
+
+def test_running_sums(spark):
+    """Sums before each element, for arrays below, at and above the length of a block."""
+    from litloom.llm import arrays
+
+    rng = random.Random(4)
+    rows = [([rng.randrange(9) for _ in range(n)],) for n in (0, 1, 2, arrays.BLOCK, arrays.BLOCK + 1, 3 * arrays.BLOCK + 7)]
+    found = spark.createDataFrame(rows, "x array<bigint>").select("x", arrays.sums_before(F.col("x"), 5).alias("s")).collect()
+    assert all(r["s"] == [5 + sum(r["x"][:i]) for i in range(len(r["x"]))] for r in found)
+
+
+def test_short_items():
+    """Items without a q-gram bound: whole words of under eight bytes, and one edit in those of 13 to 15."""
+    index = decontam.Items([(1, "yes no"), (2, "abcdefghijklm"), (3, "x"), (4, "abcdefgh")])
+    ids = lambda t: sorted({index.ids[r[1]] for r in index.search([decontam.plain(t)])})
+    assert ids("so yes  NO maybe") == [1] and ids("oh yes now") == [] and ids("yes no") == [1]
+    assert ids("zz abcdefghijklm zz") == [2, 4] and ids("zz abcXefghijklm zz") == [2] and ids("zz abcdefgijklm") == [2] and ids("abcXefghijkYm") == []
+    assert ids("a x b") == [3] and ids("axb") == []
+    import pickle
+
+    assert pickle.loads(pickle.dumps(index)).ids == index.ids
+
+
+def test_size_of_the_index():
+    """The index of a block of items, as it is broadcast, is within some 30 bytes for each byte of text."""
+    import pickle
+
+    items = [(i, sentence(i, 60)) for i in range(3000)]
+    size = sum(len(t) for _, t in items)
+    assert len(pickle.dumps(decontam.Items(items))) < 30 * size + (1 << 24)

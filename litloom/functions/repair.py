@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +9,7 @@ from litloom.functions.lexicon import DROPPED
 from litloom.functions.text import squeeze
 
 # Sources whose articles count as science journals.
-SCIENCE = ["Scopus", "ISI", "CABI", "CAB", "Web of Science", "Econlit", "Proquest", "Agricola"]
+SCIENCE = ["Scopus", "CAB", "Econlit", "Proquest", "Web of Science", "Agricola", "ISI", "CABI", "African", "CLRTB_PHL"]
 RANK_CAP = 5000
 
 
@@ -42,32 +38,35 @@ def drop_trailing_fragments(text: Column) -> Column:
     return F.when(last > 0, F.array_join(kept, ";")).otherwise(text)
 
 
+def _terms(text: Column) -> Column:
+    """How many words of a text are index terms, roughly: no dropped ones, numbers or single letters."""
+    return F.size(F.filter(F.split(text, "[^A-Za-z0-9_]+"), lambda w: (F.length(w) > 1) & ~w.rlike("^[0-9]") & ~F.lower(w).isin(DROPPED)))
+
+
 def drop_last_brackets(text: Column) -> Column:
-    """Square brackets at the end go with what they hold, again and again; brackets that hold nearly all are opened."""
-    dropped = set(DROPPED)
-
-    def terms(t: str) -> int:
-        return sum(1 for w in re.findall(r"\w+", t) if len(w) > 1 and w.lower() not in dropped and not w[0].isdigit())
-
-    def step(t: str) -> str:
-        found = re.findall(r"\[.*?\]", t)
-        if not found:
-            return t
-        if terms(t.replace(found[-1], "")) < 2:
-            return t.replace("[", " ").replace("]", " ").strip()
-        return t if terms(t.split(found[-1])[1]) > 2 else t.replace(found[-1], "").strip()
-
-    def clean(t: str | None) -> str | None:
-        while t is not None and (nxt := step(t)) != t:
-            t = nxt
-        return t
-
-    @F.pandas_udf("string")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield batch.map(clean, na_action="ignore")
-
-    return run(text)
+    """Square brackets at the end go with what they hold, from the last one back.
+
+    Where less than two terms would be left the brackets are opened instead; more than two terms after a bracket keep it.
+    """
+    bracket = r"\[.*?\]"
+    gaps, held = F.split(text, bracket, -1), F.regexp_extract_all(text, F.lit(bracket), F.lit(0))
+    backwards = F.reverse(F.arrays_zip(F.slice(gaps, 1, F.size(held)).alias("gap"), held.alias("held")))
+    # upto: length of the part not looked at yet; after: what is kept of the rest.
+    start = F.struct((F.length(text) - F.length(F.element_at(gaps, -1))).alias("upto"), F.element_at(gaps, -1).alias("after"), F.lit(False).alias("opened"), F.lit(False).alias("done"))
+
+    def step(acc: Column, part: Column) -> Column:
+        before = F.substr(text, F.lit(1), acc["upto"] - F.length(part["held"]))
+        bare = _terms(F.concat(before, acc["after"])) < 2
+        kept = ~bare & (_terms(acc["after"]) > 2)
+        further = F.struct((F.length(before) - F.length(part["gap"])).alias("upto"), F.concat(part["gap"], acc["after"]).alias("after"), F.lit(False).alias("opened"), F.lit(False).alias("done"))
+        stopped = F.struct(acc["upto"].alias("upto"), acc["after"].alias("after"), bare.alias("opened"), F.lit(True).alias("done"))
+        return F.when(acc["done"], acc).when(bare | kept, stopped).otherwise(further)
+
+    def put(acc: Column) -> Column:
+        whole = F.concat(F.substr(text, F.lit(1), acc["upto"]), acc["after"])
+        return F.when(acc["opened"], F.trim(F.translate(whole, "[]", "  "))).when(acc["upto"] + F.length(acc["after"]) == F.length(text), text).otherwise(F.trim(whole))
+
+    return F.when(F.size(held) > 0, F.aggregate(backwards, start, step, put)).otherwise(text)
 
 
 def first_words(text: Column) -> Column:

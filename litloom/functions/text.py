@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from litloom.functions.lexicon import FOLD_FROM, FOLD_TO, is_dropped, lemma
 
 MARKS = ",.;?!"
+# Entities that stand for a sign, in the order in which they are read.
+ENTITIES = {"amp": "&", "gt": ">", "lt": "<", "quot": '"', "nbsp": " "}
 
 
 def squeeze(text: Column) -> Column:
@@ -68,28 +70,26 @@ def tokens(text: Column) -> Column:
 
 
 def remove_unicode_symbols(text: Column) -> Column:
-    """<U+XXXX> becomes a separator, which gives way to punctuation before it."""
-    out = F.regexp_replace(text, r"<\s*U\s*\+[A-Za-z0-9_]{4}\s*>", " ; ")
-    out = F.regexp_replace(out, r"([.:;!?])\s*;", "$1")
-    out = F.regexp_replace(out, r"^\s*;\s*", "")
-    out = F.regexp_replace(out, r"\s*;\s*", " ; ")
-    return F.when(text.rlike(r"<\s*U\s*\+[A-Za-z0-9_]{4}\s*>"), out).otherwise(text)
+    """Codes such as <U+00E9> separate what stands around them: by a semicolon, or by the mark that is there already."""
+    code = r"<\s*U\s*\+[A-Za-z0-9_]{4}\s*>"
+    parted = F.regexp_replace(F.regexp_replace(text, code, " ; "), r"(?<=[.:;!?])\s*;", "")
+    return F.when(text.rlike(code), F.regexp_replace(F.regexp_replace(parted, r"\s*;\s*", " ; "), "^ ; ", "")).otherwise(text)
 
 
 def remove_html_tags(text: Column) -> Column:
-    """No tags, empty brackets or entities; white space squeezed, not trimmed."""
-    out = F.regexp_replace(text, r"<.+?>", "")
-    out = F.regexp_replace(F.regexp_replace(out, r"\(\s*\)", ""), r"\[\s*\]", "")
-    for entity, sign in (("&amp;", "&"), ("&gt;", ">"), ("&lt;", "<"), ("&quot;", '"'), ("&nbsp;", " ")):
-        out = F.replace(out, F.lit(entity), F.lit(sign))
-    return F.regexp_replace(F.regexp_replace(out, r"&\w+;", " "), r"\s+", " ")
+    """No tags, no brackets with nothing in them, no entities; white space squeezed, not trimmed."""
+    for nothing in (r"<.+?>", r"\(\s*\)", r"\[\s*\]"):
+        text = F.regexp_replace(text, nothing, "")
+    for name, sign in ENTITIES.items():
+        text = F.replace(text, F.lit(f"&{name};"), F.lit(sign))
+    return F.regexp_replace(text, r"(?:&\w+;|\s)+", " ")
 
 
 def remove_copyright(text: Column) -> Column:
-    """What stands before a copyright sign, without the word; placeholders of missing abstracts are emptied."""
+    """The text before a copyright sign, without that word; what stands for a missing abstract is emptied."""
     missing = F.lower(F.translate(text, "[]", "")) == "no abstract available"
-    kept = F.trim(F.split(text, "©|\\(c\\)|\\(C\\)")[0])
-    return F.when(missing, F.lit("")).otherwise(F.regexp_replace(F.trim(F.regexp_replace(kept, r"[Cc|]opyright ?\.?", "")), r"\s+", " "))
+    before = F.element_at(F.split(text, r"©|\([cC]\)"), 1)
+    return F.when(missing, F.lit("")).otherwise(squeeze(F.regexp_replace(before, r"[Cc]opyright ?\.?", "")))
 
 
 def trim_marks(text: Column, marks: str = MARKS) -> Column:

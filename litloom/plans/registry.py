@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from litloom.functions import text as T
-from litloom.operators import dedup, index, labels, mining, search
+from litloom.operators import abbreviations as abbr
+from litloom.operators import dedup, hearst, index, labels, measurements, mining, repairs, search, taxonomies
 
 Step = Callable[[DataFrame, "Context", dict], DataFrame]
 STEPS: dict[str, Step] = {}
@@ -74,10 +75,15 @@ def _joined(df: DataFrame, found: DataFrame, context: Context, column: str) -> D
 
 @register("normalize_text")
 def normalize(df: DataFrame, context: Context, options: dict) -> DataFrame:
-    c = F.col(options.get("column", context.text_col))
-    for part in (T.remove_unicode_symbols, T.replace_braces, T.remove_html_tags, T.trim_marks, T.remove_copyright, T.trim_marks):
-        c = part(c)
-    return df.withColumn(options.get("output", options.get("column", context.text_col)), c)
+    """Titles and texts cleaned in a fixed order; with `full`, shouted and glued words of the table are put right first, and all is cleaned again."""
+    column = options.get("column", context.text_col)
+    output = options.get("output", column)
+    out = df.withColumn(output, repairs.clean_text(F.col(column)))
+    if options.get("full"):
+        posts = index.build_postings(out, context.id_col, [output])
+        fixes = repairs.word_fixes(index.build_vocabulary(posts), options.get("heads", repairs.HEADS))
+        out = repairs.apply_fixes(out, fixes, context.id_col, output).withColumn(output, repairs.clean_text(F.col(output)))
+    return out
 
 
 @register("keywords")
@@ -128,12 +134,18 @@ def rename(df: DataFrame, context: Context, options: dict) -> DataFrame:
 
 @register("abbreviations")
 def abbreviations(df: DataFrame, context: Context, options: dict) -> DataFrame:
-    return df.withColumn(options.get("output", "abbreviations"), mining.abbreviations(F.col(context.text_col)))
+    """Bracketed abbreviations of each text, with what they stand for."""
+    return df.withColumn(options.get("output", "abbreviations"), abbr.bracketed(F.col(context.text_col)))
 
 
 @register("hyponyms")
 def hyponyms(df: DataFrame, context: Context, options: dict) -> DataFrame:
-    return df.withColumn(options.get("output", "hyponyms"), F.flatten(F.transform(T.sentences(F.col(context.text_col)), mining.hyponyms)))
+    """Pairs (narrow, broad, pattern) of each text."""
+    rows = df.select(F.col(context.id_col).alias("__id"), F.explode(T.sentences(F.col(context.text_col))).alias("sentence"))
+    found = hearst.pairs(rows, ["__id"]).groupBy("__id").agg(F.array_sort(F.collect_set(F.struct("narrow", "broad", "pattern"))).alias("__pairs"))
+    output = options.get("output", "hyponyms")
+    joined = df.drop(output).join(found, F.col(context.id_col) == F.col("__id"), "left").drop("__id")
+    return joined.withColumn(output, F.coalesce("__pairs", F.array().cast("array<struct<narrow:string,broad:string,pattern:int>>"))).drop("__pairs")
 
 
 @register("authors")
@@ -144,3 +156,74 @@ def authors(df: DataFrame, context: Context, options: dict) -> DataFrame:
 @register("year")
 def year(df: DataFrame, context: Context, options: dict) -> DataFrame:
     return df.withColumn(options.get("column", "year"), T.find_year(F.col(options.get("column", "year"))))
+
+
+def _listed(df: DataFrame, found: DataFrame, context: Context, kind: str, column: str) -> DataFrame:
+    """Values of one kind (doc_id, kind, value) as a list column."""
+    return _joined(df, found.where(F.col("kind") == kind).select("doc_id", F.col("value").alias("label")), context, column)
+
+
+@register("crops")
+def crops(df: DataFrame, context: Context, options: dict) -> DataFrame:
+    """Three columns from a dictionary (level_3, broad, narrow): paths, names found, and terms of the third level."""
+    found = taxonomies.three_levels(context.dictionaries[options["dictionary"]], *context.index(df), options.get("threshold", 0.92))
+    output = options["output"]
+    for kind, column in (("path", output), ("details", f"{output}_details"), ("broad", f"{output}_broad")):
+        df = _listed(df, found, context, kind, column)
+    return df
+
+
+@register("interventions")
+def interventions(df: DataFrame, context: Context, options: dict) -> DataFrame:
+    """Classes, names, paths and a column for each class from a dictionary (query_id, query, class, middle, name)."""
+    entries = context.dictionaries[options["dictionary"]]
+    found = taxonomies.intervention_columns(search.search(entries, *context.index(df), options.get("threshold", 0.92)), entries)
+    for kind, column in (("class", "intervention_labels"), ("raw", "interventions_found_raw"), ("path", "interventions_found")):
+        df = _listed(df, found, context, kind, column)
+    for name in options.get("classes", []):
+        df = _listed(df, found, context, f"class:{name}", name)
+    return df
+
+
+@register("population")
+def population(df: DataFrame, context: Context, options: dict) -> DataFrame:
+    docs = df.select(F.col(context.id_col).alias("doc_id"), F.col(context.text_col).alias("text"))
+    found = taxonomies.populations(docs, *context.index(df), options.get("threshold", 0.9))
+    return _joined(df, found.withColumnRenamed("tag", "label"), context, options.get("output", "population tags"))
+
+
+@register("places")
+def places(df: DataFrame, context: Context, options: dict) -> DataFrame:
+    """Country codes by name, adjective, currency and group, from four dictionaries (name, code)."""
+    tables = [context.dictionaries[options[k]] for k in ("countries", "adjectives", "currencies", "groups")]
+    found = taxonomies.place_phases(*context.index(df), *tables, options.get("indicators", []), options.get("threshold", 0.92))
+    return _joined(df, found.where("phase < 3").select("doc_id", F.col("code").alias("label")), context, options.get("output", "country_codes"))
+
+
+@register("programs")
+def programs(df: DataFrame, context: Context, options: dict) -> DataFrame:
+    """Programmes of a dictionary (program), with the meanings that abbreviations have in each document (doc_id, abbr, meaning)."""
+    used = context.dictionaries[options["meanings"]]
+    found = taxonomies.programme_labels(context.dictionaries[options["dictionary"]], *context.index(df), used, options.get("threshold", 0.92))
+    return _joined(df, found.withColumnRenamed("program", "label"), context, options.get("output", "programs_found"))
+
+
+@register("strategies")
+def strategies(df: DataFrame, context: Context, options: dict) -> DataFrame:
+    """Labels of rules (rule_id, query_id, query, wanted, label): all keywords of a rule hit, and the document has the wanted label."""
+    rules = context.dictionaries[options["dictionary"]]
+    hits = search.search(rules.select("query_id", "query").distinct(), *context.index(df), options.get("threshold", 0.92))
+    have = df.select(F.col(context.id_col).alias("doc_id"), F.explode(options["labels"]).alias("label"))
+    return _joined(df, labels.rule_labels(hits, have, rules), context, options["output"])
+
+
+@register("priority")
+def priority(df: DataFrame, context: Context, options: dict) -> DataFrame:
+    return df.withColumn(options.get("output", "priority"), measurements.priority(F.col(options["probability"])))
+
+
+@register("entities")
+def entities(df: DataFrame, context: Context, options: dict) -> DataFrame:
+    """Entities by any model: `extractor` names a function of a text column in options that gives an array of strings; without one, runs of capitalised words."""
+    extractor = options.get("extractor") or taxonomies.text_mentions
+    return df.withColumn(options.get("output", "entities"), extractor(F.col(context.text_col)))

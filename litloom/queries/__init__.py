@@ -6,7 +6,9 @@ import importlib
 
 from litloom.queries.registry import QUERIES, SQL
 
-MODULES = ("texts", "searching", "relations", "reports", "vectors", "mining", "ingest", "enriching")
+MODULES = (
+    "texts", "searching", "relations", "reports", "vectors", "mining", "ingest", "enriching", "affiliations", "abbreviations", "hyponyms", "taxonomies", "languages", "evaluation", "phrases", "sources",
+)
 
 for _name in MODULES:
     importlib.import_module(f"litloom.queries.{_name}")

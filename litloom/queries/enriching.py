@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litloom.functions import repair
-from litloom.functions.text import sentences
-from litloom.operators import geo, index, learned, measurements, mining
+from litloom.operators import geo, index, learned, measurements
 from litloom.queries.parts import postings_ctes, squeezed
 from litloom.queries.registry import query, table, values, values_sql
 from litloom.queries.searching import postings
+from litloom.storage import settle
 
 TEXTS = [
     (1, "Report; Soil; The yield of maize; rose"), (2, "Soil; continued here; more"), (3, "no semicolon"), (4, "A longer part of text here.; x; and more words that follow"), (5, "Title of work [in French] [summary]"), (6, "[Whole title in brackets]"),
@@ -23,13 +23,6 @@ def texts(spark: SparkSession) -> DataFrame:
     return values(spark, "id long, t string", TEXTS)
 
 
-@query()
-def repaired_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = F.col("t")
-    parts = {"leading": repair.drop_leading_fragments, "trailing": repair.drop_trailing_fragments, "brackets": repair.drop_last_brackets, "initials": repair.join_initials}
-    return texts(spark).select("id", *[f(c).alias(k) for k, f in parts.items()])
-
-
 @query(f"""{TEXTS_SQL}, w AS (SELECT id, unnest(string_split({squeezed('t')}, ' ')) AS w, generate_subscripts(string_split({squeezed('t')}, ' '), 1) AS i FROM cases),
 f AS (SELECT id, w, min(i) AS a, max(i) AS b FROM w GROUP BY id, w) SELECT id, string_agg(w, ' ' ORDER BY a) AS first, string_agg(w, ' ' ORDER BY b) AS last FROM f GROUP BY id""")
 def distinct_words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,10 +34,17 @@ def round_brackets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts(spark).select("id", repair.drop_brackets(F.col("t")).alias("plain"))
 
 
-@query("SELECT source, CASE WHEN source IN ('src1', 'src2') THEN 'Science Journals' ELSE 'Grey Literature' END AS kind, count(*) AS n FROM documents GROUP BY 1, 2")
+SOURCE_NAMES = ["Scopus", "CAB", "Econlit", "Proquest", "Web of Science", "Agricola", "ISI", "CABI", "African", "CLRTB_PHL"]
+
+
+@query(f"""WITH n AS (SELECT CASE WHEN length(source) < 5 THEN ({values_sql([tuple(SOURCE_NAMES)])[1:-1].join(["[", "]"])})[CAST(substr(source, 4) AS INTEGER) + 1] ELSE source END AS source FROM documents)
+SELECT source, CASE WHEN source IN ({values_sql([tuple(SOURCE_NAMES)])[1:-1]}) THEN 'Science Journals' ELSE 'Grey Literature' END AS kind, count(*) AS n FROM n GROUP BY 1, 2""")
 def dataset_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    named = F.when(F.col("source").isin("src1", "src2"), F.lit("Scopus")).otherwise(F.col("source"))
-    return table(spark, sf_dir, "documents").groupBy("source", repair.dataset_type(named).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    """The one-digit sources of the documents under the names of science sources, the others under their own."""
+    names = F.array(*[F.lit(n) for n in SOURCE_NAMES])
+    named = F.when(F.length("source") < 5, F.element_at(names, F.substr("source", F.lit(4)).try_cast("int") + 1)).otherwise(F.col("source"))
+    rows = table(spark, sf_dir, "documents").select(named.alias("source"))
+    return rows.groupBy("source", repair.dataset_type(F.col("source")).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 
 RANKS = [("thon", 120), ("ering", 900), ("er", 40), ("nd", 4000)]
@@ -60,12 +60,6 @@ def word_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.word_ranks(vocab.select(F.col("term").alias("word")), values(spark, "word string, rank int", RANKS))
 
 
-@query(f"""WITH {postings_ctes()} SELECT u.term AS word FROM vocab u JOIN vocab l ON l.term = lower(u.term) WHERE u.n_tokens = 1 AND upper(u.term) = u.term AND lower(u.term) <> u.term
-AND length(u.term) > 1 AND NOT regexp_matches(u.term, '[0-9]') AND l.df > 3 * u.df""")
-def shouted_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repair.shouted_words(index.build_vocabulary(postings(spark, sf_dir)))
-
-
 HEADS = ["the", "was", "that", "with"]
 
 
@@ -90,15 +84,11 @@ def geo_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return places.groupBy("region").agg(F.count(F.lit(1)).alias("docs"))
 
 
-AFFILIATIONS = [(1, "Dept of Soil, University of Rome, Rome, Italy; FAO, Rome, Italy"), (2, "Institute of Crops, Rome, "), (3, "Lab"), (4, "")]
-
-
-@query()
-def affiliations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return geo.major_country(geo.affiliations(values(spark, "id long, affiliation string", AFFILIATIONS), ["univ", "institut", "college"]))
-
-
-@query()
+@query(r"""WITH s AS (SELECT doc_id, unnest(l) AS s, generate_subscripts(l, 1) - 1 AS place FROM (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(text, '([.!?])[\x20\x09-\x0D]+', '\1' || chr(1), 'g'), chr(1)), lambda s: trim(s)), lambda s: s <> '') AS l FROM documents)),
+w AS (SELECT doc_id, place, list_filter(string_split_regex(lower(s), '[^a-z0-9]+'), lambda w: w <> '') AS w FROM s), u AS (SELECT doc_id, place, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM w),
+n AS (SELECT * FROM u WHERE regexp_matches(word, '^[0-9]')), c AS (SELECT * FROM u WHERE word IN ('license', 'token', 'version', 'licensed'))
+SELECT n.doc_id, CAST(n.place AS INTEGER) AS place, n.word AS number, c.word AS concept, CAST(abs(c.i - n.i) AS INTEGER) AS distance FROM n JOIN c ON c.doc_id = n.doc_id AND c.place = n.place
+QUALIFY row_number() OVER (PARTITION BY n.doc_id, n.place, n.i ORDER BY abs(c.i - n.i), c.i) = 1""")
 def closest_concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measurements.closest_concepts(table(spark, sf_dir, "documents"), ["license", "token", "version", "licensed"])
 
@@ -117,7 +107,7 @@ def priorities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").groupBy(measurements.priority((F.col("doc_id") % 100) / 100).alias("priority")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query("SELECT * FROM (VALUES (1, 'maize', 'wheat'), (2, 'drip irrigation', 'flooding'), (3, 'rice', 'oats')) t(id, a, b)")
 def comparisons(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = values(spark, "id long, s string", [(1, "A comparison of maize and wheat."), (2, "We compared drip irrigation with flooding"), (3, "the difference between rice and oats"), (4, "")])
     return rows.select("id", F.explode(measurements.comparisons(F.col("s"))).alias("p")).select("id", "p.*")
@@ -125,7 +115,7 @@ def comparisons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = learned.with_words(index.spread(table(spark, sf_dir, "documents").select("doc_id", "text"))).select("doc_id", "words").persist()
+    docs = settle(learned.with_words(index.spread(table(spark, sf_dir, "documents").select("doc_id", "text"))).select("doc_id", "words"))
     model = learned.fit_topics(docs, 8, iterations=5)
     return learned.document_topics(model, docs)
 
@@ -139,13 +129,6 @@ def word_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def classifier_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("double").alias("label"))
-    docs = learned.with_words(index.spread(table(spark, sf_dir, "documents").select("doc_id", "text"))).join(labels, "doc_id").select("doc_id", "words", "label").persist()
+    docs = settle(learned.with_words(index.spread(table(spark, sf_dir, "documents").select("doc_id", "text"))).join(labels, "doc_id").select("doc_id", "words", "label"))
     model = learned.fit_classifier(docs.where("doc_id % 4 <> 0"))
     return learned.macro_f1(model.transform(docs.where("doc_id % 4 = 0")))
-
-
-@query()
-def sentence_hyponyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.explode(sentences(F.col("text"))).alias("s"))
-    found = rows.select("doc_id", F.explode(mining.hyponyms(F.col("s"))).alias("p")).select("doc_id", "p.*")
-    return found.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).unionByName(spark.createDataFrame([(0, 0)], "pattern int, n long"))

@@ -77,7 +77,7 @@ def strip_html_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     CASES_SQL
     + r"""
 SELECT id, CASE WHEN lower(translate(t, '[]', '')) = 'no abstract available' THEN ''
-  ELSE regexp_replace(trim(regexp_replace(trim(string_split_regex(t, '©|\(c\)|\(C\)')[1]), '[Cc|]opyright ?\.?', '', 'g')), '\s+', ' ', 'g') END AS kept FROM cases"""
+  ELSE regexp_replace(trim(regexp_replace(trim(string_split_regex(t, '©|\(c\)|\(C\)')[1]), '[Cc]opyright ?\.?', '', 'g')), '\s+', ' ', 'g') END AS kept FROM cases"""
 )
 def remove_copyright(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cases(spark).select("id", T.remove_copyright(F.col("t")).alias("kept"))

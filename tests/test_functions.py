@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from litloom.functions import text as T
-from litloom.operators import dedup, index, labels, mining, relations, reports, search, vectors
+from litloom.operators import abbreviations, dedup, index, labels, mining, relations, reports, search, vectors
 from litloom.plans import registry
 from litloom.sources import readers, sinks
 from litloom.streaming import incremental
@@ -80,8 +80,8 @@ def test_concepts(spark):
 
 
 def test_abbreviations(spark):
-    found = one(spark, mining.abbreviations, "the World Health Organization (WHO) and Food and Agriculture Organization (FAO) no such thing (XYZ)")
-    assert [(r["abbr"], r["meaning"]) for r in found] == [("WHO", "world health organization"), ("FAO", "food and agriculture organization")]
+    found = one(spark, abbreviations.bracketed, "the World Health Organization (WHO) and Food and Agriculture Organization (FAO) no such thing (XYZ)")
+    assert [(r["abbr"], r["meaning"]) for r in found] == [("WHO", "World Health Organization"), ("FAO", "Food and Agriculture Organization")]
 
 
 def test_authors():

@@ -46,15 +46,21 @@ def counted_words(text: str | None) -> Counter[str]:
     return counts
 
 
+Scores = tuple[list[str], np.ndarray]
+
+
 class LanguageModel:
-    """Per-language log frequencies of words and character n-grams."""
+    """Per-language log frequencies of words and character n-grams: items, and a matrix with a row for each and a column for each language."""
 
-    def __init__(self, languages: list[str], words: dict[str, np.ndarray], grams: dict[str, np.ndarray]):
-        self.languages, self.words, self.grams = languages, words, grams
+    def __init__(self, languages: list[str], words: Scores, grams: Scores):
+        self.languages = languages
+        self.words, self.word_scores = words
+        self.grams, self.gram_scores = grams
+        self._gram_row = {g: i for i, g in enumerate(self.grams)}
         self._forget()
 
     def __getstate__(self):
-        return self.languages, self.words, self.grams
+        return self.languages, (self.words, self.word_scores), (self.grams, self.gram_scores)
 
     def __setstate__(self, state):
         self.__init__(*state)
@@ -63,14 +69,14 @@ class LanguageModel:
         self._row = {w: i for i, w in enumerate(self.words)}
         self._scores = np.zeros((len(self.words) + MEMO, len(self.languages)), np.float32)
         if self.words:
-            self._scores[: len(self.words)] = np.stack(list(self.words.values()))
+            self._scores[: len(self.words)] = self.word_scores
 
     def backoff(self, word: str) -> np.ndarray:
-        marked = f"^{word}$"
+        marked, rows = f"^{word}$", self._gram_row
         for n in SIZES:
-            found = [self.grams[g] for i in range(len(marked) - n + 1) if (g := marked[i : i + n]) in self.grams]
+            found = [rows[g] for i in range(len(marked) - n + 1) if (g := marked[i : i + n]) in rows]
             if found:
-                return np.mean(found, axis=0)
+                return self.gram_scores[found].mean(axis=0)
         return np.zeros(len(self.languages), np.float32)
 
     def _index(self, word: str) -> int:
@@ -106,14 +112,13 @@ class LanguageModel:
         return [i if (i := get(w)) is not None else self._index(w) for w in words]
 
 
-def _table(counts: pd.DataFrame, languages: list[str]) -> dict[str, np.ndarray]:
-    """Smoothed log frequencies from rows (item, lang, n, total, kinds)."""
-    if counts.empty:
-        return {}
-    wide = counts.pivot_table(index="item", columns="lang", values="n", aggfunc="sum", fill_value=0.0).reindex(columns=languages, fill_value=0.0).sort_index()
-    totals = np.maximum(wide.sum().to_numpy(), 1.0)
-    logs = np.log((wide.to_numpy() + SMOOTHING) / (totals + SMOOTHING * len(wide))).astype(np.float32)
-    return dict(zip(wide.index, logs, strict=True))
+def _table(counts: pd.DataFrame, languages: list[str]) -> Scores:
+    """Smoothed log frequencies from rows (item, lang, n)."""
+    row, items = pd.factorize(counts["item"], sort=True)
+    wide = np.zeros((len(items), len(languages)))
+    np.add.at(wide, (row, pd.Index(languages).get_indexer(counts["lang"])), counts["n"].to_numpy(float))
+    totals = np.maximum(wide.sum(axis=0), 1.0)
+    return list(items), np.log((wide + SMOOTHING) / (totals + SMOOTHING * len(wide))).astype(np.float32)
 
 
 def _most_frequent(counts: DataFrame, keys: list[str], most: int) -> DataFrame:
@@ -164,10 +169,9 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     grams = _most_frequent(grams, ["lang", "size"], most_grams)
     top_words, top_grams = top.toPandas(), grams.select("lang", "size", "item", "n").toPandas()
     languages = sorted(set(top_grams["lang"]))
-    tables: dict[str, np.ndarray] = {}
-    for _, of_size in top_grams.groupby("size"):
-        tables |= _table(of_size, languages)
-    return LanguageModel(languages, _table(top_words, languages), tables)
+    tables = [_table(of_size, languages) for _, of_size in top_grams.groupby("size")]
+    grams_ = [g for items, _ in tables for g in items], np.concatenate([np.zeros((0, len(languages)), np.float32), *(scores for _, scores in tables)])
+    return LanguageModel(languages, _table(top_words, languages), grams_)
 
 
 def predictor(spark, model: LanguageModel):

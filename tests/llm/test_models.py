@@ -40,7 +40,7 @@ def test_language_without_labels(spark):
 
 
 def test_memo_overflow():
-    model = langid.LanguageModel(["aa", "bb"], {}, {"a": np.array([-1.0, -2.0], np.float32)})
+    model = langid.LanguageModel(["aa", "bb"], ([], np.zeros((0, 2), np.float32)), (["a"], np.array([[-1.0, -2.0]], np.float32)))
     before, langid.MEMO = langid.MEMO, 8
     try:
         model._forget()

@@ -32,12 +32,13 @@ def only_english(text: Column, separator: str = ";") -> Column:
 
 
 def stem(word: Column) -> Column:
-    """A word without common endings, by rule: of the first that fits, if three letters are left."""
-    out = word
+    """A word without a common ending, by rule: the first that fits and leaves three letters."""
+    out = None
     for ending, put in (("ational", "ate"), ("ization", "ize"), ("fulness", "ful"), ("iveness", "ive"), ("ing", ""), ("edly", ""), ("ed", ""), ("ly", ""), ("ment", ""), ("ness", "")):
         fits = F.endswith(word, F.lit(ending)) & (F.length(word) >= len(ending) + 3)
-        out = F.when(fits, F.concat(F.substr(word, F.lit(1), F.length(word) - len(ending)), F.lit(put))).otherwise(out) if ending == "ational" else F.when((out == word) & fits, F.concat(F.substr(word, F.lit(1), F.length(word) - len(ending)), F.lit(put))).otherwise(out)
-    return out
+        cut = F.concat(F.substr(word, F.lit(1), F.length(word) - len(ending)), F.lit(put))
+        out = F.when(fits, cut) if out is None else out.when(fits, cut)
+    return out.otherwise(word)
 
 
 def numbered_terms(text: Column) -> Column:

@@ -1,59 +1,140 @@
-"""Near-duplicate articles by blocked title and text similarity.
+"""Near-duplicate articles by blocked similarity of titles and texts.
 
-Articles meet only within a block: those whose titles start with the same two terms. A pair is a duplicate if
-titles are close in edits and texts are close in TF-IDF cosine; titles are not compared by cosine. Equal articles are collapsed first, so a
-group of copies costs one comparison.
+Articles meet only within a block: those of a year whose titles start with the same two terms (or the only one). A pair is a
+duplicate if its titles are close in edits or in TF-IDF cosine and its texts in cosine (or one text is blank and further columns
+are close), or if titles are alike and texts nearly equal. Equal articles are collapsed first, so a group of copies costs one comparison.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from litloom.functions.text import fold_accents, normalize_text, sentences, similarity, tokens
+from litloom.functions.language import numbered_terms
+from litloom.functions.text import fold_accents, sentences, similarity
+from litloom.storage import settle
 
+# Which source's article stays, the first before the later ones; others come last.
+PRIORITY = ["Science journals", "Scopus", "ISI", "CABI", "CAB", "Web of Science", "Econlit", "Proquest", "Agricola"]
+RANK = {name: max(i, 1) for i, name in enumerate(PRIORITY)}
 
-def articles(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Columns doc_id, title (the first sentence, accents folded), text, block; without title terms an article meets no other."""
-    title = F.coalesce(fold_accents(F.get(sentences(F.col(text_col)), F.lit(0))), F.lit(""))
-    rows = df.select(F.col(id_col).alias("doc_id"), title.alias("title"), F.col(text_col).alias("text"))
-    words = tokens(normalize_text(F.col("title")))
-    return rows.withColumn("block", F.array_join(F.slice(words, 1, 2), " ")).where("block <> ''")
 
+def first_sentence(text: Column) -> Column:
+    return F.coalesce(fold_accents(F.get(sentences(text), F.lit(0))), F.lit(""))
 
-def weights(df: DataFrame, total: DataFrame) -> DataFrame:
-    """Columns doc_id, term, w: TF-IDF with smoothed idf, each document of length one. total: one row, n."""
-    counts = df.select("doc_id", F.explode(tokens(normalize_text(F.col("text")))).alias("term")).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    idf = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).crossJoin(F.broadcast(total)).select("term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
-    raw = counts.join(idf, "term").select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("raw"))
+
+def articles(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", title_col: str | None = None, year_col: str | None = None, source_col: str | None = None, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Columns doc_id, title (without a column for it: the first sentence, accents folded), text, source, extra, terms (of the title), block.
+
+    Null texts count as blank. An article without a title term has a null block and meets no other.
+    """
+    title = F.coalesce(fold_accents(F.col(title_col)), F.lit("")) if title_col else first_sentence(F.col(text_col))
+    year = F.coalesce(F.col(year_col).cast("string"), F.lit("")) if year_col else F.lit("")
+    source = F.col(source_col).cast("string") if source_col else F.lit(None).cast("string")
+    rows = df.select(F.col(id_col).alias("doc_id"), title.alias("title"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), year.alias("year"), source.alias("source"), F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in extra]).cast("array<string>").alias("extra"))
+    rows = rows.withColumn("terms", numbered_terms(F.col("title")))
+    return rows.withColumn("block", F.when(F.size("terms") > 0, F.concat_ws(" ", "year", F.slice("terms", 1, 2)))).drop("year")
+
+
+def inverse_frequencies(terms: DataFrame, total: DataFrame) -> DataFrame:
+    """Columns term, idf (smoothed) from (doc_id, terms); total: one row, n."""
+    df = terms.select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return df.crossJoin(F.broadcast(total)).select("term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
+
+
+def weights(terms: DataFrame, idf: DataFrame) -> DataFrame:
+    """Columns doc_id, term, w: TF-IDF, each document of length one, from (doc_id, terms)."""
+    raw = terms.select("doc_id", F.explode("terms").alias("term")).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")).join(idf, "term").select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("raw"))
     norms = raw.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
     return raw.join(norms, "doc_id").select("doc_id", "term", (F.col("raw") / F.col("norm")).alias("w"))
 
 
-def duplicate_pairs(rows: DataFrame, title_similarity: float = 0.9, text_cosine: float = 0.85) -> DataFrame:
-    """Columns a, b (a < b), title_similarity, text_cosine of duplicate pairs among `rows` (articles, distinct texts)."""
-    slim = rows.select("doc_id", "title", "block")
-    x, y = slim.alias("x"), slim.alias("y")
-    longest = F.greatest(F.length("x.title"), F.length("y.title"))
-    # The difference of lengths bounds the edit distance from below.
-    close = (F.abs(F.length("x.title") - F.length("y.title")) <= (1 - title_similarity) * longest + 1e-9) & (similarity(F.col("x.title"), F.col("y.title")) >= title_similarity)
-    pairs = x.join(y, (F.col("x.block") == F.col("y.block")) & (F.col("x.doc_id") < F.col("y.doc_id")) & close)
-    pairs = pairs.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), similarity(F.col("x.title"), F.col("y.title")).alias("title_similarity"))
-    total = rows.agg(F.count(F.lit(1)).alias("n"))
-    w = weights(rows, total)
+def duplicate_pairs(rows: DataFrame, title_edits: float = 0.9, text_cosine: float = 0.85, across: str | None = None) -> DataFrame:
+    """Columns a, b, title_similarity (0 below `title_edits`), title_cosine, text_cosine of duplicate pairs among `rows` (articles, distinct ids).
+
+    a < b; with `across`, a column of `rows`, a is where that is 0 and b where it is 1, and ids decide nothing. Articles of a
+    block meet under the terms of their titles, which they share by what a block is. Pairs are settled once; texts are
+    weighed only for articles in a pair whose titles are alike, with frequencies over all.
+    """
+    total = settle(rows.agg(F.count(F.lit(1)).alias("n")))
+    titles = rows.select("doc_id", "terms")
+    side = [across] if across else []
+    slim = rows.where("block is not null").select("doc_id", "block", F.length("title").alias("size"), *side)
+    keyed = settle(weights(titles, inverse_frequencies(titles, total)).join(slim, "doc_id"))
+    x, y = keyed.alias("x"), keyed.alias("y")
+    order = (F.col(f"x.{across}") == 0) & (F.col(f"y.{across}") == 1) if across else F.col("x.doc_id") < F.col("y.doc_id")
+    # How many edits the bound allows; the difference of lengths is at least one of them each.
+    most = F.floor((1 - title_edits) * F.greatest("size_a", "size_b") + 1e-9).cast("int")
+    met = x.join(y, (F.col("x.block") == F.col("y.block")) & (F.col("x.term") == F.col("y.term")) & order)
+    met = met.groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).agg(F.sum(F.col("x.w") * F.col("y.w")).alias("title_cosine"), F.first("x.size").alias("size_a"), F.first("y.size").alias("size_b"))
+    met = met.where((F.col("title_cosine") > 0.8) | (F.abs(F.col("size_a") - F.col("size_b")) <= most))
+    for k in "ab":
+        met = met.join(rows.select(F.col("doc_id").alias(k), F.col("title").alias(f"title_{k}"), F.col("extra").alias(f"extra_{k}"), (F.trim("text") == "").alias(f"blank_{k}")), k)
+    distance = F.call_function("levenshtein", F.col("title_a"), F.col("title_b"), most)
+    longest = F.greatest("size_a", "size_b")
+    edits = F.when(F.abs(F.col("size_a") - F.col("size_b")) > most, F.lit(0.0)).when(longest == 0, F.lit(1.0)).when(distance >= 0, 1 - distance / longest).otherwise(F.lit(0.0))
+    close = F.forall(F.zip_with("extra_a", "extra_b", similarity), lambda s: s >= 0.85)
+    pairs = met.select("a", "b", edits.alias("title_similarity"), "title_cosine", ((F.col("blank_a") | F.col("blank_b")) & close).alias("spared"))
+    pairs = settle(pairs.where((F.col("title_similarity") >= title_edits) | (F.col("title_cosine") > 0.8)))
     involved = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    w = w.join(involved, "doc_id", "left_semi")
-    left, right = (w.select(F.col("doc_id").alias(k), "term", F.col("w").alias(f"w_{k}")) for k in "ab")
-    products = pairs.select("a", "b").join(left, "a").join(right, ["b", "term"]).groupBy("a", "b").agg(F.sum(F.col("w_a") * F.col("w_b")).alias("text_cosine"))
-    return pairs.join(products, ["a", "b"]).where(F.col("text_cosine") >= text_cosine)
-
-
-def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Columns doc_id, kept: without a priority of sources the earlier article of a pair goes, as do all copies but the last."""
-    rows = articles(df, id_col, text_col)
-    last = rows.groupBy("text").agg(F.max("doc_id").alias("doc_id"))
-    distinct = rows.join(last.select("doc_id"), "doc_id", "left_semi")
-    pairs = duplicate_pairs(distinct)
-    gone = pairs.select(F.col("a").alias("doc_id")).unionByName(rows.select("doc_id").join(last.select("doc_id"), "doc_id", "left_anti")).distinct()
-    ids = df.select(F.col(id_col).alias("doc_id"))
-    return ids.join(gone.withColumn("gone", F.lit(True)), "doc_id", "left").select("doc_id", F.col("gone").isNull().alias("kept"))
+    terms = rows.select("doc_id", numbered_terms(F.col("text")).alias("terms"))
+    texts = settle(weights(rows.join(involved, "doc_id", "left_semi").select("doc_id", numbered_terms(F.col("text")).alias("terms")), inverse_frequencies(terms, total)))
+    left, right = (texts.select(F.col("doc_id").alias(k), "term", F.col("w").alias(f"w_{k}")) for k in "ab")
+    products = pairs.select("a", "b").join(left, "a").join(right, ["b", "term"]).groupBy("a", "b").agg(F.sum(F.col("w_a") * F.col("w_b")).alias("c"))
+    judged = pairs.join(products, ["a", "b"], "left").withColumn("text_cosine", F.coalesce("c", F.lit(0.0)))
+    near = (F.col("title_similarity") >= title_edits) | (F.col("title_cosine") >= 0.95)
+    rule = (near & ((F.col("text_cosine") >= text_cosine) | F.col("spared"))) | ((F.col("title_cosine") > 0.8) & (F.col("text_cosine") >= 0.94))
+    return judged.where(rule).select("a", "b", "title_similarity", "title_cosine", "text_cosine")
+
+
+def _rank(source: Column) -> Column:
+    rank = F.lit(len(PRIORITY))
+    for name, value in RANK.items():
+        rank = F.when(source == name, F.lit(value)).otherwise(rank)
+    return rank
+
+
+def distinct_articles(rows: DataFrame) -> DataFrame:
+    """One article of each group of equal texts and titles: without sources the last, else that of the first source, the earliest of these."""
+    best = F.when(F.col("source").isNull(), F.struct(F.lit(0).alias("rank"), (-F.col("doc_id")).alias("place"))).otherwise(F.struct(_rank(F.col("source")).alias("rank"), F.col("doc_id").alias("place")))
+    key = (F.xxhash64("text"), F.md5("text"), F.md5("title"))
+    kept = rows.groupBy(*(k.alias(f"k{i}") for i, k in enumerate(key))).agg(F.min_by("doc_id", best).alias("doc_id")).select("doc_id")
+    return rows.join(kept, "doc_id", "left_semi")
+
+
+def losers(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Columns doc_id, kept_id: the article of each pair that goes, and the one that stays.
+
+    The one with a blank text goes; else that of the lower source, of equal ones the later; without sources the earlier.
+    """
+    slim = rows.select("doc_id", (F.trim("text") == "").alias("blank"), "source")
+    p = pairs.select("a", "b")
+    for k in "ab":
+        p = p.join(slim.select(F.col("doc_id").alias(k), F.col("blank").alias(f"blank_{k}"), F.col("source").alias(f"source_{k}")), k)
+    known = F.col("source_a").isNotNull() | F.col("source_b").isNotNull()
+    worse = F.when(F.col("blank_a") != F.col("blank_b"), F.col("blank_a")).when(known, _rank(F.col("source_a")) > _rank(F.col("source_b"))).otherwise(F.lit(True))
+    return p.select(F.when(worse, F.col("a")).otherwise(F.col("b")).alias("doc_id"), F.when(worse, F.col("b")).otherwise(F.col("a")).alias("kept_id"))
+
+
+def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **columns) -> DataFrame:
+    """Columns doc_id, kept. Copies collapse to one article; of each duplicate pair one goes. `columns` as in `articles`."""
+    rows = articles(df, id_col, text_col, **columns)
+    distinct = settle(distinct_articles(rows))
+    gone = losers(duplicate_pairs(distinct), distinct).select("doc_id")
+    stays = distinct.select("doc_id").distinct().join(gone, "doc_id", "left_anti").withColumn("stays", F.lit(True))
+    return df.select(F.col(id_col).alias("doc_id")).join(stays, "doc_id", "left").select("doc_id", F.col("stays").isNotNull().alias("kept"))
+
+
+def new_articles(new: DataFrame, old: DataFrame, id_col: str = "doc_id", text_col: str = "text", **columns) -> DataFrame:
+    """The rows of `new`, unchanged, that are no duplicate of a row of `old`. Ids are distinct over both."""
+    rows = articles(new, id_col, text_col, **columns).withColumn("side", F.lit(0)).unionByName(articles(old, id_col, text_col, **columns).withColumn("side", F.lit(1)))
+    gone = duplicate_pairs(settle(rows), across="side").select(F.col("a").alias("__id"))
+    return new.join(gone, F.col(id_col) == F.col("__id"), "left_anti")
+
+
+def merge_lists(df: DataFrame, pairs: DataFrame, lists: list[str], id_col: str = "doc_id") -> DataFrame:
+    """Survivors with the values of list columns of the articles that went for them (pairs: doc_id, kept_id) added, sorted and distinct."""
+    values = df.select(F.col(id_col).alias("doc_id"), *lists).join(pairs, "doc_id").groupBy("kept_id").agg(*[F.flatten(F.collect_list(c)).alias(f"__{c}") for c in lists])
+    joined = df.join(pairs.select(F.col("doc_id").alias("__gone")).distinct(), F.col(id_col) == F.col("__gone"), "left_anti").join(values, F.col(id_col) == F.col("kept_id"), "left")
+    added = {c: F.array_sort(F.array_distinct(F.concat(F.coalesce(c, F.array()), F.coalesce(f"__{c}", F.array())))) for c in lists}
+    return joined.withColumns(added).select(*df.columns)

@@ -23,19 +23,24 @@ def neighbours(words: Column) -> Column:
 def spread(df: DataFrame) -> DataFrame:
     """Rows dealt out over all cores where a table has fewer files than cores; larger tables stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    files = df.inputFiles()
+    return df.repartition(cores) if 0 < len(files) < cores else df
+
+
+def build_terms(df: DataFrame, id_col: str = "doc_id", text_cols: list[str] = ("text",), keyword_cols: list[str] = ()) -> DataFrame:
+    """Columns term, doc_id, distinct within a row: what exact searches need, without a shuffle. Null texts have no terms."""
+    df = spread(df.select(id_col, *text_cols))
+    # The tokens are a column of their own, so that they are computed once for each row.
+    words = df.select(F.col(id_col).alias("doc_id"), tokens(index_text(df, list(text_cols), list(keyword_cols))).alias("w"))
+    return words.select("doc_id", F.explode(F.array_distinct(F.concat("w", neighbours(F.col("w"))))).alias("term")).select("term", "doc_id")
 
 
 def build_postings(df: DataFrame, id_col: str = "doc_id", text_cols: list[str] = ("text",), keyword_cols: list[str] = ()) -> DataFrame:
-    """Columns term, doc_id, without repeats. Rows that share an id are one document; null texts have no terms.
+    """Columns term, doc_id, without repeats. Rows that share an id are one document.
 
     Terms are made distinct within a row before anything is shuffled.
     """
-    df = spread(df.select(id_col, *text_cols))
-    # The tokens are a column of their own, so that they are computed once for each row.
-    words = df.select(F.col(id_col).alias("doc_id"), tokens(index_text(df, list(text_cols), list(keyword_cols))).alias("w"))
-    grams = words.select("doc_id", F.explode(F.array_distinct(F.concat("w", neighbours(F.col("w"))))).alias("term"))
-    return grams.select("term", "doc_id").distinct()
+    return build_terms(df, id_col, text_cols, keyword_cols).distinct()
 
 
 def build_vocabulary(postings: DataFrame) -> DataFrame:

@@ -26,31 +26,36 @@ def query_grams(queries: DataFrame, id_col: str = "query_id", text_col: str = "q
     return rows.withColumn("g", grams).select("query_id", F.size("g").alias("n_grams"), F.posexplode("g").alias("place", "gram"))
 
 
-def expand(grams: DataFrame, vocabulary: DataFrame, threshold: float = 0.85, frequent: int = FREQUENT) -> DataFrame:
-    """Spellings of each gram in the index: grams' columns and term.
+def expand(grams: DataFrame, vocabulary: DataFrame | None, threshold: float = 0.85, frequent: int = FREQUENT) -> DataFrame:
+    """Spellings of each gram in the index: grams' columns and term. Without a vocabulary an exact search gives all seeds, known or not.
 
-    An equi-join on the first three letters bounds the edit distances to compute; length and frequency are
-    tested first.
+    An equi-join on the first three letters and on each admissible length bounds the edit distances to compute; frequency
+    is tested first.
     """
     gram = F.col("gram")
     program = F.array(F.replace(gram, F.lit("programme"), F.lit("program")), F.regexp_replace(gram, r"program(?!me)", "programme"), F.replace(gram, F.lit(" "), F.lit("")))
     seeds = grams.withColumn("seed", F.explode(F.array_distinct(F.concat(F.array(gram), program, spelling_swaps(gram)))))
+    if threshold >= EXACT and vocabulary is None:
+        return seeds.select(*grams.columns, F.col("seed").alias("term")).distinct()
     known = vocabulary.select("term", "prefix3", "df")
     exact = seeds.join(known, F.col("seed") == F.col("term")).select(*grams.columns, "term")
     if threshold >= EXACT:
         return exact.distinct()
     own = grams.join(known.select(F.col("term").alias("gram"), F.col("df").alias("own_df")), "gram", "left").where(F.length("gram") >= 3)
-    keyed = own.withColumn("prefix3", F.substr("gram", F.lit(1), F.lit(3)))
-    near = keyed.join(known, "prefix3")
-    longest = F.greatest(F.length("gram"), F.length("term"))
-    near = near.where(F.abs(F.length("gram") - F.length("term")) <= (1 - threshold) * longest + 1e-9)
+    n = F.length("gram")
+    lengths = F.sequence(F.ceil(n * threshold - 1e-9).cast("int"), F.floor(n / threshold + 1e-9).cast("int"))
+    keyed = own.withColumn("prefix3", F.substr("gram", F.lit(1), F.lit(3))).withColumn("size", F.explode(lengths))
+    near = keyed.join(known.withColumn("size", F.length("term")), ["prefix3", "size"])
     near = near.where(F.coalesce(F.col("df") < frequent * F.col("own_df"), F.lit(True)) | (F.col("term") == F.col("gram")))
     near = near.where(similarity(F.col("gram"), F.col("term")) >= threshold)
     return exact.unionByName(near.select(*grams.columns, "term")).distinct()
 
 
-def search(queries: DataFrame, postings: DataFrame, vocabulary: DataFrame, threshold: float = 0.85, id_col: str = "query_id", text_col: str = "query") -> DataFrame:
-    """Columns query_id, doc_id: documents in which every gram of the query has a spelling."""
+def search(queries: DataFrame, postings: DataFrame, vocabulary: DataFrame | None, threshold: float = 0.85, id_col: str = "query_id", text_col: str = "query") -> DataFrame:
+    """Columns query_id, doc_id: documents in which every gram of the query has a spelling.
+
+    An exact search needs no vocabulary, and takes rows (term, doc_id) that repeat.
+    """
     spelled = expand(query_grams(queries, id_col, text_col), vocabulary, threshold)
     hits = spelled.join(postings, "term").select("query_id", "n_grams", "place", "doc_id").distinct()
     return hits.groupBy("query_id", "n_grams", "doc_id").agg(F.count(F.lit(1)).alias("found")).where("found = n_grams").select("query_id", "doc_id")

@@ -9,7 +9,7 @@ from litloom.functions import harmonise, language
 from litloom.functions.lexicon import DROPPED_SQL, lemma_sql
 from litloom.functions.text import camel_case, drop_stopwords, index_keywords
 from litloom.operators import index, phrases, repairs
-from litloom.queries.parts import folded, postings_ctes, squeezed, token_ctes
+from litloom.queries.parts import folded, postings_ctes, squeezed, stem_sql, token_ctes
 from litloom.queries.registry import query, table, values, values_sql
 from litloom.queries.texts import CASES_SQL, cases
 
@@ -37,13 +37,8 @@ def english_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(language.only_english(F.col("text"), ".")).alias("kept"))
 
 
-def _stem_sql(w: str) -> str:
-    rules = (("ational", "ate"), ("ization", "ize"), ("fulness", "ful"), ("iveness", "ive"), ("ing", ""), ("edly", ""), ("ed", ""), ("ly", ""), ("ment", ""), ("ness", ""))
-    return "CASE " + " ".join(f"WHEN ends_with({w}, '{e}') AND length({w}) >= {len(e) + 3} THEN substr({w}, 1, length({w}) - {len(e)}) || '{p}'" for e, p in rules) + f" ELSE {w} END"
-
-
 @query(f"""WITH w AS (SELECT doc_id, list_filter(string_split(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: w <> '' AND w NOT IN ({DROPPED_SQL}) AND (length(w) > 1 OR regexp_matches(w, '^[0-9]$'))) AS w FROM documents)
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n, md5(array_to_string(list_transform(list_transform(w, lambda x: {lemma_sql('x')}), lambda y: {_stem_sql('y')}), ' ')) AS terms FROM w""")
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n, md5(array_to_string(list_transform(list_transform(w, lambda x: {lemma_sql('x')}), lambda y: {stem_sql('y')}), ' ')) AS terms FROM w""")
 def numbered_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = table(spark, sf_dir, "documents").select("doc_id", language.numbered_terms(F.col("text")).alias("w"))
     return words.select("doc_id", F.size("w").cast("long").alias("n"), F.md5(F.array_join("w", " ")).alias("terms"))

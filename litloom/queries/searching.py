@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from litloom.functions.lexicon import DROPPED_SQL, lemma_sql
 from litloom.functions.text import normalize_text, sentences, tokens
 from litloom.operators import dedup, index, labels, search
-from litloom.queries.parts import folded, postings_ctes, token_ctes
+from litloom.queries.parts import folded, postings_ctes, stem_sql, token_ctes
 from litloom.queries.registry import query, table, values, values_sql
+from litloom.storage import settle
 
 DICTIONARY = [
     (1, "general public licenses", "GPL", "Licence", "Copyleft"), (2, "Apache License", "Apache", "Licence", "Permissive"), (3, "MIT License", "MIT", "Licence", "Permissive"),
@@ -44,7 +46,9 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hits(spark: SparkSession, sf_dir: str, threshold: float = 1.0) -> DataFrame:
-    posts = postings(spark, sf_dir)
+    if threshold >= search.EXACT:
+        return search.search(dictionary(spark), index.build_terms(table(spark, sf_dir, "documents").select("doc_id", "text")), None, threshold)
+    posts = settle(postings(spark, sf_dir))
     return search.search(dictionary(spark), posts, index.build_vocabulary(posts), threshold)
 
 
@@ -197,33 +201,68 @@ def proximity_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", labels.proximity(F.col("text"), MARKERS, MODIFIERS).alias("tagged"))
 
 
-_DUP = f"""WITH docs AS (SELECT doc_id, text, {folded("t")} AS title FROM (SELECT doc_id, text, coalesce(list_filter(list_transform(string_split(regexp_replace(text, '([.!?])[\\x20\\x09-\\x0D]+', '\\1' || chr(1), 'g'), chr(1)), lambda s: trim(s)), lambda s: s <> '')[1], '') AS t FROM documents)),
-{token_ctes("docs", "doc_id", "title", "ttl")},
-blocks AS (SELECT id, string_agg(term, ' ' ORDER BY i) AS block FROM ttl WHERE i <= 2 GROUP BY id),
-arts AS (SELECT d.doc_id, d.title, d.text, b.block FROM docs d JOIN blocks b ON d.doc_id = b.id),
-lasts AS (SELECT max(doc_id) AS doc_id FROM arts GROUP BY text),
-uniq AS (SELECT a.* FROM arts a JOIN lasts USING (doc_id)),
-pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, 1 - CAST(levenshtein(x.title, y.title) AS DOUBLE) / greatest(length(x.title), length(y.title)) AS title_similarity
-  FROM uniq x JOIN uniq y ON x.block = y.block AND x.doc_id < y.doc_id WHERE 1 - CAST(levenshtein(x.title, y.title) AS DOUBLE) / greatest(length(x.title), length(y.title)) >= 0.9),
-{token_ctes("uniq", "doc_id", "text", "body")},
-tf AS (SELECT id, term, count(*) AS tf FROM body GROUP BY id, term),
-idf AS (SELECT term, ln((1 + (SELECT count(*) FROM uniq)) / CAST(1 + count(*) AS DOUBLE)) + 1 AS idf FROM tf GROUP BY term),
-raw AS (SELECT id, term, tf * idf AS r FROM tf JOIN idf USING (term)),
-norms AS (SELECT id, sqrt(sum(r * r)) AS norm FROM raw GROUP BY id),
-w AS (SELECT raw.id, term, r / norm AS w FROM raw JOIN norms ON raw.id = norms.id),
-dups AS (SELECT a, b, title_similarity, sum(x.w * y.w) AS text_cosine FROM pairs JOIN w x ON x.id = a JOIN w y ON y.id = b AND x.term = y.term GROUP BY a, b, title_similarity HAVING sum(x.w * y.w) >= 0.85)"""
-
-
-@query(f"{_DUP} SELECT a, b, round(title_similarity, 6) AS title_similarity, round(text_cosine, 6) AS text_cosine FROM dups")
+_SENTENCE = f"""coalesce({folded("list_filter(list_transform(string_split(regexp_replace(text, '([.!?])[" + chr(92) + "x20" + chr(92) + "x09-" + chr(92) + "x0D]+', '" + chr(92) + "1' || chr(1), 'g'), chr(1)), lambda s: trim(s)), lambda s: s <> '')[1]")}, '')"""
+
+
+def numbered_sql(x: str) -> str:
+    words = f"list_filter(string_split(regexp_replace(lower({x}), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: w <> '' AND w NOT IN ({DROPPED_SQL}) AND (length(w) > 1 OR regexp_matches(w, '^[0-9]$')))"
+    return f"list_transform(list_transform({words}, lambda x: {lemma_sql('x')}), lambda y: {stem_sql('y')})"
+
+
+def _weights(source: str, name: str, total: str) -> str:
+    return f"""{name}_tf AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(w) AS term FROM {source}) GROUP BY id, term),
+{name}_idf AS (SELECT term, ln((1 + (SELECT count(*) FROM {total})) / CAST(1 + count(*) AS DOUBLE)) + 1 AS idf FROM {name}_tf GROUP BY term),
+{name}_raw AS (SELECT id, term, tf * idf AS r FROM {name}_tf JOIN {name}_idf USING (term)), {name}_norm AS (SELECT id, sqrt(sum(r * r)) AS norm FROM {name}_raw GROUP BY id),
+{name} AS (SELECT r.id, term, r / norm AS w FROM {name}_raw r JOIN {name}_norm n ON r.id = n.id)"""
+
+
+def duplicates_sql(source: str, who: str, order: str) -> str:
+    """CTEs that end in dups(a, b, title_similarity, title_cosine, text_cosine) among uniq(doc_id, text, title, kind)."""
+    return f"""WITH arts AS ({source}), {who},
+ttl AS (SELECT doc_id AS id, {numbered_sql("title")} AS w FROM uniq), body AS (SELECT doc_id AS id, {numbered_sql("text")} AS w FROM uniq),
+{_weights("ttl", "tw", "uniq")}, {_weights("body", "bw", "uniq")},
+blocks AS (SELECT u.doc_id, u.title, u.kind, trim(u.text) = '' AS blank, array_to_string(t.w[1:2], ' ') AS block FROM uniq u JOIN ttl t ON t.id = u.doc_id WHERE len(t.w) > 0),
+met AS (SELECT x.doc_id AS a, y.doc_id AS b, x.blank OR y.blank AS spared, CASE WHEN greatest(length(x.title), length(y.title)) = 0 THEN 1.0 ELSE 1 - CAST(levenshtein(x.title, y.title) AS DOUBLE) / greatest(length(x.title), length(y.title)) END AS s FROM blocks x JOIN blocks y ON x.block = y.block AND {order}),
+tc AS (SELECT a, b, sum(x.w * y.w) AS c FROM met JOIN tw x ON x.id = a JOIN tw y ON y.id = b AND y.term = x.term GROUP BY a, b), near AS (SELECT m.a, m.b, m.spared, CASE WHEN s >= 0.9 THEN s ELSE 0.0 END AS ts, coalesce(c, 0) AS tc FROM met m LEFT JOIN tc ON tc.a = m.a AND tc.b = m.b WHERE s >= 0.9 OR c > 0.8),
+bc AS (SELECT a, b, sum(x.w * y.w) AS c FROM near JOIN bw x ON x.id = a JOIN bw y ON y.id = b AND y.term = x.term GROUP BY a, b),
+dups AS (SELECT n.a, n.b, ts, tc, coalesce(c, 0) AS cosine FROM near n LEFT JOIN bc ON bc.a = n.a AND bc.b = n.b WHERE ((ts >= 0.9 OR tc >= 0.95) AND (coalesce(c, 0) >= 0.85 OR spared)) OR (tc > 0.8 AND coalesce(c, 0) >= 0.94))"""
+
+
+_LAST = "uniq AS (SELECT a.* FROM arts a JOIN (SELECT max(doc_id) AS doc_id FROM arts GROUP BY text) USING (doc_id))"
+_DUP = duplicates_sql(f"SELECT doc_id, coalesce(text, '') AS text, {_SENTENCE} AS title, 0 AS kind FROM documents", _LAST, "x.doc_id < y.doc_id")
+
+
+@query(f"{_DUP} SELECT a, b, round(ts, 6) AS title_similarity, round(tc, 5) AS title_cosine, round(cosine, 5) AS text_cosine FROM dups")
 def near_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = dedup.articles(table(spark, sf_dir, "documents"))
-    rows = rows.join(rows.groupBy("text").agg(F.max("doc_id").alias("doc_id")).select("doc_id"), "doc_id", "left_semi")
-    return dedup.duplicate_pairs(rows).select("a", "b", F.round("title_similarity", 6).alias("title_similarity"), F.round("text_cosine", 6).alias("text_cosine"))
+    rows = settle(dedup.distinct_articles(dedup.articles(index.spread(table(spark, sf_dir, "documents")))))
+    return dedup.duplicate_pairs(rows).select("a", "b", F.round("title_similarity", 6).alias("title_similarity"), F.round("title_cosine", 5).alias("title_cosine"), F.round("text_cosine", 5).alias("text_cosine"))
 
 
-@query(f"""{_DUP} SELECT doc_id, doc_id NOT IN (SELECT a FROM dups) AND (doc_id NOT IN (SELECT doc_id FROM arts) OR doc_id IN (SELECT doc_id FROM lasts)) AS kept FROM documents""")
+@query(f"{_DUP} SELECT doc_id, doc_id IN (SELECT doc_id FROM uniq) AND doc_id NOT IN (SELECT a FROM dups) AS kept FROM documents")
 def dedup_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.deduplicate(table(spark, sf_dir, "documents"))
+    return dedup.deduplicate(index.spread(table(spark, sf_dir, "documents")))
+
+
+_RANKED = "coalesce(list_position(['Scopus', 'ISI', 'CABI'], CASE source WHEN 'src0' THEN 'Scopus' WHEN 'src1' THEN 'ISI' WHEN 'src2' THEN 'CABI' END), 9)"
+_FIRST = f"uniq AS (SELECT * FROM arts QUALIFY row_number() OVER (PARTITION BY text ORDER BY kind, doc_id) = 1)"  # noqa: F541
+_BY_SOURCE = duplicates_sql(f"SELECT doc_id, coalesce(text, '') AS text, {_SENTENCE} AS title, {_RANKED} AS kind FROM documents", _FIRST, "x.doc_id < y.doc_id")
+
+
+@query(f"""{_BY_SOURCE}, g AS (SELECT CASE WHEN (trim(x.text) = '') <> (trim(y.text) = '') THEN CASE WHEN trim(x.text) = '' THEN a ELSE b END WHEN x.kind > y.kind THEN a ELSE b END AS doc_id FROM dups JOIN uniq x ON x.doc_id = a JOIN uniq y ON y.doc_id = b)
+SELECT doc_id, doc_id IN (SELECT doc_id FROM uniq) AND doc_id NOT IN (SELECT doc_id FROM g) AS kept FROM documents""")
+def dedup_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = F.when(F.col("source") == "src0", "Scopus").when(F.col("source") == "src1", "ISI").when(F.col("source") == "src2", "CABI").otherwise("Other")
+    return dedup.deduplicate(index.spread(table(spark, sf_dir, "documents").withColumn("dataset", names)), source_col="dataset")
+
+
+_TWO = duplicates_sql(f"SELECT doc_id, coalesce(text, '') AS text, {_SENTENCE} AS title, CASE WHEN doc_id % 2 = 0 THEN 0 ELSE 1 END AS kind FROM documents", "uniq AS (SELECT * FROM arts)", "x.kind = 0 AND y.kind = 1")
+
+
+@query(f"{_TWO} SELECT doc_id FROM documents WHERE doc_id % 2 = 0 AND doc_id NOT IN (SELECT a FROM dups)")
+def new_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents with even ids as the new set, those with odd ids as the old one."""
+    docs = index.spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return dedup.new_articles(docs.where("doc_id % 2 = 0"), docs.where("doc_id % 2 <> 0")).select("doc_id")
 
 
 @query("""WITH u AS (SELECT text, max(doc_id) AS doc_id, count(*) AS copies, string_agg(DISTINCT source, ';' ORDER BY source) AS sources FROM documents GROUP BY text) SELECT doc_id, copies, sources FROM u""")

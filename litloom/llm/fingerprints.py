@@ -150,41 +150,51 @@ def neighbours(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """Rows dealt out so that each stands right before its successor in descending id order.
 
     Columns role, key, id, text. Ids are cut at quantiles into buckets, one partition each, sorted by
-    descending id, then text (null ids come last). After its own rows (role 0) a bucket holds, as role
-    1, copies of the first rows of the next bucket (the last one: of the first). The texts are shuffled once;
-    only the bucket bounds and each bucket's largest id reach the driver.
+    descending id, then text. Rows without an id come last, by a hash of the text, in as many buckets as they need. After its
+    own rows (role 0) a bucket holds, as role 1, copies of the first rows of the next bucket (the last one: of the first). The
+    texts are shuffled once; only the bucket bounds and each bucket's largest key reach the driver.
     """
     spark = df.sparkSession
     small_batches(spark)
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
-    rows = df.select(key.alias("key"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    counted = rows.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    parts = max(1, min(counted, max(shuffle_partitions(spark), -(-counted // ROWS_A_BUCKET))))
+    id_ = F.col(id_col).cast("long")
+    rows = df.select(id_.isNull().alias("lacking"), F.coalesce(id_, F.xxhash64(text_col)).alias("key"), id_.alias("id"), F.col(text_col).alias("text"))
+    counted = rows.agg(F.count("id").alias("n"), F.count_if("lacking").alias("lacking")).first()
+    least = shuffle_partitions(spark)
+    buckets = lambda n, low: max(1, min(n, max(low, -(-n // ROWS_A_BUCKET))))
+    parts, spare = buckets(counted["n"], least), buckets(counted["lacking"], -(-counted["lacking"] * least // max(1, counted["n"] + counted["lacking"])))
     shares = [i / parts for i in range(1, parts)]
-    cuts = rows.agg(F.percentile_approx("key", shares, max(10_000, 20 * parts)).alias("q")).first()["q"] if shares and counted else []
-    bounds = np.array(sorted(set(cuts)), np.int64)
-
-    def of(keys: pd.Series) -> np.ndarray:
-        return (len(bounds) - np.searchsorted(bounds, keys.to_numpy(), "left")).astype(np.int32)
-
-    own = _pandas(lambda keys: pd.Series(of(keys)), "int")
-    tops = {r["b"]: r["top"] for r in rows.select("key").groupBy(own("key").alias("b")).agg(F.max("key").alias("top")).collect()}
+    cuts = rows.where("not lacking").agg(F.percentile_approx("key", shares, max(10_000, 20 * parts)).alias("q")).first()["q"] if shares and counted["n"] else []
+    bounds = np.array(sorted(set(cuts or [])), np.int64)
+    # Hashes are even, so their cuts need no quantiles.
+    even = np.array([-(1 << 63) + (i << 64) // spare for i in range(1, spare)], np.int64)
+
+    def of(lacking: pd.Series, keys: pd.Series) -> np.ndarray:
+        key = keys.to_numpy()
+        own = len(bounds) - np.searchsorted(bounds, key, "left")
+        return np.where(lacking.to_numpy(bool), len(bounds) + 1 + len(even) - np.searchsorted(even, key, "left"), own).astype(np.int32)
+
+    own = _pandas(lambda lacking, keys: pd.Series(of(lacking, keys)), "int")
+    tops = {r["b"]: (r["lacking"], r["top"]) for r in rows.select("lacking", "key").groupBy(own("lacking", "key").alias("b"), "lacking").agg(F.max("key").alias("top")).collect()}
     filled = sorted(tops)
     wanted = {tops[b]: filled[i - 1] for i, b in enumerate(filled)}  # the first bucket's goes to the last
-    tops_sorted = np.array(sorted(wanted), np.int64)
-    goes = np.array([wanted[int(t)] for t in tops_sorted], np.int32)
-
-    def place(keys: pd.Series) -> pd.DataFrame:
-        at = np.searchsorted(tops_sorted, keys.to_numpy())
-        at[at == len(tops_sorted)] = 0
-        return pd.DataFrame({"own": of(keys), "also": np.where(tops_sorted[at] == keys.to_numpy(), goes[at], -1).astype(np.int32)})
-
-    placed = rows.withColumn("at", _pandas(place, "own int, also int")("key"))
+    lists = {flag: sorted((key, to) for (lack, key), to in wanted.items() if lack == flag) for flag in (False, True)}
+
+    def place(lacking: pd.Series, keys: pd.Series) -> pd.DataFrame:
+        also = np.full(len(keys), -1, np.int32)
+        flags, key = lacking.to_numpy(bool), keys.to_numpy()
+        for flag, pairs in lists.items():
+            if pairs:
+                top, to = np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int32)
+                at = np.minimum(np.searchsorted(top, key), len(top) - 1)
+                also = np.where((flags == flag) & (top[at] == key), to[at], also)
+        return pd.DataFrame({"own": of(lacking, keys), "also": also})
+
+    placed = rows.withColumn("at", _pandas(place, "own int, also int")("lacking", "key"))
     first = F.struct(F.col("at.own").alias("bucket"), F.lit(0).alias("role"))
     copy = F.struct(F.col("at.also").alias("bucket"), F.lit(1).alias("role"))
     dealt = placed.withColumn("to", F.explode(F.when(F.col("at.also") >= 0, F.array(first, copy)).otherwise(F.array(first))))
-    dealt = dealt.select(F.col("to.bucket").alias("bucket"), F.col("to.role").alias("role"), "key", "id", "text")
-    return dealt.repartitionById(max(1, len(bounds) + 1), F.col("bucket")).sortWithinPartitions("role", F.desc("key"), "text").drop("bucket")
+    dealt = dealt.select(F.col("to.bucket").alias("bucket"), F.col("to.role").alias("role"), "lacking", "key", "id", "text")
+    return dealt.repartitionById(len(bounds) + len(even) + 2, F.col("bucket")).sortWithinPartitions("role", "lacking", F.desc("key"), "text").drop("bucket", "lacking")
 
 
 EDITED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, distinct_shingles double, edited_containment double"
@@ -200,7 +210,7 @@ def fingerprint_edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Fingerprints of every text and of its edit with the next text, and their likenesses.
 
     One row per input row, columns as EDITED. Null texts count as empty. Rows that share an id are ordered
-    by text; with a single row the next document is the row itself. An empty table gives no rows.
+    by text, rows without an id come last, by a hash of the text; with a single row the next document is the row itself. An empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

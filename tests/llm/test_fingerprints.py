@@ -1,4 +1,5 @@
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -75,3 +76,34 @@ def test_merge_groups(spark):
     found = {r["doc_id"]: r["f"] for r in merged.collect()}
     parts = P.sketches([sentence(1, 300).encode(), sentence(2, 300).encode()])
     assert found == {1: P.encode(P.merge(parts)), 2: ""}
+
+
+def test_many_rows_without_an_id(spark):
+    """Rows without an id spread over buckets, and still form one chain with the others."""
+    rows = [(i, sentence(i, 12)) for i in range(30)] + [(None, sentence(1000 + i, 12)) for i in range(200)] + [(None, None), (None, sentence(1000, 12))]
+    before = P.ROWS_A_BUCKET
+    P.ROWS_A_BUCKET = 20
+    try:
+        found = P.fingerprint_edits(frame(spark, rows)).collect()
+        dealt = P.neighbours(frame(spark, rows))
+        sizes = [r["count"] for r in dealt.where("role = 0 and id is null").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        P.ROWS_A_BUCKET = before
+    assert len(found) == len(rows) and max(sizes) < 60
+    digests = sorted(hashlib.sha256(P.edited(a or "", b or "").encode()).hexdigest() for a, b in [(rows[i][1], rows[i - 1][1]) for i in range(1, 30)])
+    assert sorted(r["edited_sha256"] for r in found if r["doc_id"] is not None and r["doc_id"] > 0) == digests
+    # Every text is the successor of one row: each edit ends as some other row's text begins.
+    begins = Counter(d.hexdigest() for d in (hashlib.sha256(P.edited(x, y).encode()) for x in {t or "" for _, t in rows[30:]} for y in {t or "" for _, t in rows}))
+    assert all(r["edited_sha256"] in begins for r in found if r["doc_id"] is None)
+
+
+def test_likenesses_against_exact_sets(spark):
+    """Estimates over a table, within the error of a sketch of 128 hashes."""
+    rows = [(i, f"{sentence(i // 3, 300)} {sentence(i, 20 + 40 * (i % 3))}") for i in range(60)]
+    found = {r["doc_id"]: r for r in P.fingerprint_edits(frame(spark, rows)).collect()}
+    errors = []
+    for i in range(1, 60):
+        a, b = shingles(rows[i][1]), shingles(rows[i - 1][1])
+        e = shingles(P.edited(rows[i][1], rows[i - 1][1]))
+        errors += [abs(found[i]["near_next"] - len(a & b) / len(a | b)), abs(found[i]["near_edited"] - len(a & e) / len(a | e))]
+    assert max(errors) < 0.2 and sum(errors) / len(errors) < 0.05

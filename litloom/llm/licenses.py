@@ -37,6 +37,20 @@ SENTENCES = {
     "mpl2.header": "this source code form is subject to the terms of the mozilla public license v 2 0",
     "unlicense.grant": "this is free and unencumbered software released into the public domain",
     "reserved": "all rights reserved under copyright law",
+    "gpl2.only": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation",
+    "gpl3.only": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license version 3 as published by the free software foundation",
+    "lgpl21.grant": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "lgpl3.grant": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "lgpl.warranty": "this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
+    "lgpl.details": "see the gnu lesser general public license for more details",
+    "agpl3.grant": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "agpl.details": "see the gnu affero general public license for more details",
+    "epl2.header": "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0",
+    "bsl.grant": "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following",
+    "zlib.warranty": "this software is provided as is without any express or implied warranty",
+    "zlib.liability": "in no event will the authors be held liable for any damages arising from the use of this software",
+    "zlib.grant": "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
+    "cc0.dedication": "the person who associated a work with this deed has dedicated the work to the public domain by waiving all of his or her rights to the work worldwide under copyright law including all related and neighboring rights to the extent allowed by law",
 }
 # Licences and their names in statements of one line.
 NAMES = {
@@ -46,9 +60,15 @@ NAMES = {
     "BSD-3-Clause": ("the bsd 3 clause license", "bsd 3 clause"),
     "GPL-2.0": ("the gnu general public license version 2", "gpl 2 0"),
     "GPL-3.0": ("the gnu general public license version 3", "gpl 3 0"),
+    "LGPL-2.1": ("the gnu lesser general public license version 2 1", "lgpl 2 1"),
     "LGPL-3.0": ("the gnu lesser general public license version 3", "lgpl 3 0"),
     "AGPL-3.0": ("the gnu affero general public license version 3", "agpl 3 0"),
     "MPL-2.0": ("the mozilla public license version 2 0", "mpl 2 0"),
+    "EPL-2.0": ("the eclipse public license version 2 0", "epl 2 0"),
+    "BSL-1.0": ("the boost software license version 1 0", "bsl 1 0"),
+    "Zlib": ("the zlib license", "zlib"),
+    "ISC": ("the isc license", "isc"),
+    "Unlicense": ("the unlicense", "unlicense"),
     "CC0-1.0": ("cc0 1 0", "cc0"),
     "CC-BY-4.0": ("cc by 4 0", "a creative commons attribution 4 0 international license"),
     "CC-BY-SA-4.0": ("cc by sa 4 0", "a creative commons attribution sharealike 4 0 international license"),
@@ -75,9 +95,29 @@ RULES = (
     ("GPL-2.0-or-later", ("gpl2.grant",)),
     ("MPL-2.0", ("mpl2.header",)),
     ("Unlicense", ("unlicense.grant",)),
+    ("GPL-3.0-only", ("gpl3.only", "gpl.warranty")),
+    ("GPL-3.0-only", ("gpl3.only",)),
+    ("GPL-2.0-only", ("gpl2.only", "gpl.warranty")),
+    ("GPL-2.0-only", ("gpl2.only",)),
+    ("LGPL-2.1-or-later", ("lgpl21.grant", "lgpl.warranty")),
+    ("LGPL-2.1-or-later", ("lgpl21.grant",)),
+    ("LGPL-3.0-or-later", ("lgpl3.grant", "lgpl.warranty")),
+    ("LGPL-3.0-or-later", ("lgpl3.grant",)),
+    ("AGPL-3.0-or-later", ("agpl3.grant", "gpl.warranty")),
+    ("AGPL-3.0-or-later", ("agpl3.grant",)),
+    ("EPL-2.0", ("epl2.header",)),
+    ("BSL-1.0", ("bsl.grant",)),
+    ("Zlib", ("zlib.warranty", "zlib.liability", "zlib.grant")),
+    ("Zlib", ("zlib.liability", "zlib.grant")),
+    ("CC0-1.0", ("cc0.dedication",)),
+)
+# Sentences that name a holder, with what stands for any name in normal form.
+HOLDERS = (
+    ("^neither the name of [a-z0-9 ]{1,80} nor the names of (?:its|their|any) contributors", "neither the name of the copyright holder nor the names of its contributors"),
+    ("^this software is provided by [a-z0-9 ]{1,80} and (?:any )?contributors as is", "this software is provided by the copyright holders and contributors as is"),
 )
 #: Every known sentence matches this, so texts that don't have no known sentence.
-HINT = r"(?i)licen[cs]|copyright|redistribut|permission|warrant|mozilla|public[^a-z0-9]+domain|cc[^a-z0-9]*by|cc0|under[^a-z0-9]+(mit|apache|bsd|l?a?gpl|mpl)|creative"
+HINT = r"(?i)licen[cs]|copyright|redistribut|permission|warrant|mozilla|public[^a-z0-9]+domain|no[^a-z0-9]+event|cc[^a-z0-9]*by|cc0|under[^a-z0-9]+(mit|apache|bsd|l?a?gpl|mpl|epl|bsl|zlib|isc)|creative"
 
 WHITE = r"[\x20\x09-\x0D]"
 BREAK = "\u0001"
@@ -105,7 +145,11 @@ def marked(text: Column) -> Column:
 
 
 def normal(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.translate(sentence, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), "[^a-z0-9]+", " "))
+    """Lower-case words, with the holder's name in sentences that hold one replaced."""
+    plain = F.trim(F.regexp_replace(F.translate(sentence, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), "[^a-z0-9]+", " "))
+    for named, put in HOLDERS:
+        plain = F.regexp_replace(plain, named, put)
+    return plain
 
 
 def _pieces(text: Column, by: str, width: int, offset: Column) -> Column:
@@ -166,7 +210,14 @@ def scan_sql() -> str:
         steps.append(f"step{i} AS (SELECT doc_id, n_known, sentence_ids, CASE WHEN contains(ids, '{ids}') THEN list_append(names, '{name}') ELSE names END AS names, replace(ids, '{ids}', '|') AS ids FROM {last})")
         last = f"step{i}"
     lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    norm = lambda x: f"trim(regexp_replace({lower.format(x)}, '[^a-z0-9]+', ' ', 'g'))"
+
+
+    def norm(x: str) -> str:
+        plain = f"trim(regexp_replace({lower.format(x)}, '[^a-z0-9]+', ' ', 'g'))"
+        for named, put in HOLDERS:
+            plain = f"regexp_replace({plain}, '{named}', '{put}')"
+        return plain
+
     return rf"""
 WITH known(form, id) AS (VALUES {known}),
 marked AS (

@@ -28,6 +28,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that is no longer read, wherever it is."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Checkpoint `df` in the shared folder, so a lost executor costs no upstream work."""
     context = df.sparkSession.sparkContext

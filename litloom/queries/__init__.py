@@ -7,7 +7,7 @@ import importlib
 from litloom.queries.registry import QUERIES, SQL
 
 MODULES = (
-    "texts", "searching", "relations", "reports", "vectors", "mining", "ingest", "enriching", "affiliations", "abbreviations", "hyponyms", "taxonomies", "languages", "evaluation", "phrases", "sources",
+    "texts", "searching", "relations", "reports", "vectors", "mining", "ingest", "enriching", "affiliations", "abbreviations", "hyponyms", "taxonomies", "languages", "evaluation", "phrases", "sources", "models",
 )
 
 for _name in MODULES:

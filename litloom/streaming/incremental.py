@@ -24,3 +24,13 @@ def index_new_files(spark: SparkSession, folder: str, schema: str, out: str, che
 def windowed_counts(events: DataFrame, time_col: str = "ts", key: str = "event_type", window: str = "1 hour", late: str = "2 hours") -> DataFrame:
     """Counts by time window and key; rows later than `late` are left out. An extension for event streams."""
     return events.withWatermark(time_col, late).groupBy(F.window(time_col, window), key).agg(F.count(F.lit(1)).alias("n"))
+
+
+def index_stream(spark: SparkSession, folder: str, schema: str, checkpoint: str, index: str, properties: list[str], id_col: str, send):
+    """Documents of new files to a search server, batch by batch, then stop; a batch that is run again sends the same ids."""
+    from litloom.sources.sinks import send_bulk
+
+    rows = spark.readStream.schema(schema).parquet(folder)
+    query = rows.writeStream.foreachBatch(lambda batch, epoch: send_bulk(batch, index, properties, id_col, send)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query

@@ -10,9 +10,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from litloom.functions import affiliation
 from litloom.functions import text as T
 from litloom.operators import abbreviations as abbr
-from litloom.operators import dedup, hearst, index, labels, measurements, mining, repairs, search, taxonomies
+from litloom.operators import affiliations as affil
+from litloom.operators import dedup, geo, hearst, index, labels, learned, measurements, mining, repairs, search, taxonomies
 
 Step = Callable[[DataFrame, "Context", dict], DataFrame]
 STEPS: dict[str, Step] = {}
@@ -227,3 +229,59 @@ def entities(df: DataFrame, context: Context, options: dict) -> DataFrame:
     """Entities by any model: `extractor` names a function of a text column in options that gives an array of strings; without one, runs of capitalised words."""
     extractor = options.get("extractor") or taxonomies.text_mentions
     return df.withColumn(options.get("output", "entities"), extractor(F.col(context.text_col)))
+
+
+@register("affiliations")
+def affiliations(df: DataFrame, context: Context, options: dict) -> DataFrame:
+    """Institutions of a column of affiliations between semicolons, under the canonical name of their country's cluster."""
+    column = options.get("column", "raw_affiliation")
+    rows = df.select(F.col(context.id_col).alias("id"), F.coalesce(F.col(column), F.lit("")).alias("affiliation"))
+    parts = geo.major_country(geo.affiliations(rows, options.get("markers", ["univ", "institut", "college"])))
+    named = parts.withColumn("name", affiliation.processed(F.col("name"))).where("name <> ''")
+    counts = named.groupBy("name", "country").agg(F.count(F.lit(1)).alias("n"))
+    clusters = affil.cluster(counts.groupBy("name").agg(F.max_by("country", F.struct("n", "country")).alias("country"), F.sum("n").alias("n")))
+    found = named.join(clusters, "name").select(F.col("id").alias("doc_id"), F.col("canonical").alias("label")).distinct()
+    return _joined(df, found, context, options.get("output", "affiliations"))
+
+
+@register("topics")
+def topics(df: DataFrame, context: Context, options: dict) -> DataFrame:
+    """The topics of each text, by number: its top ones and those with a good share of a topic's largest weight."""
+    docs = learned.with_words(df.select(context.id_col, context.text_col), context.text_col)
+    model = learned.fit_topics(docs, options.get("k", 15), iterations=options.get("iterations", 20))
+    found = learned.document_topics(model, docs, context.id_col, options.get("top", 3), options.get("share", 0.3))
+    return _joined(df, found.select("doc_id", F.col("topic").cast("string").alias("label")), context, options.get("output", "topics"))
+
+
+@register("measurements")
+def measurement(df: DataFrame, context: Context, options: dict) -> DataFrame:
+    """Concepts (one word each) that a number of a sentence is nearest to."""
+    found = measurements.closest_concepts(df, options["concepts"], context.id_col, context.text_col)
+    return _joined(df, found.select("doc_id", F.col("concept").alias("label")).distinct(), context, options.get("output", "measurements"))
+
+
+@register("comparisons")
+def comparisons(df: DataFrame, context: Context, options: dict) -> DataFrame:
+    """What sentences compare, as "a | b"."""
+    pairs = F.flatten(F.transform(T.sentences(F.coalesce(F.col(context.text_col), F.lit(""))), measurements.comparisons))
+    return df.withColumn(options.get("output", "compared_terms"), F.array_sort(F.array_distinct(F.transform(pairs, lambda p: F.concat_ws(" | ", p["a"], p["b"])))))
+
+
+@register("outcomes")
+def outcomes(df: DataFrame, context: Context, options: dict) -> DataFrame:
+    """Labels of sentences by patterns (label to regular expression), with the sentences as "[label] sentence"; a model's scores fit in by label_sentences."""
+    scores = {label: F.col("sentence").rlike(rule).cast("double") for label, rule in options["patterns"].items()}
+    found = measurements.label_sentences(df, scores, id_col=context.id_col, text_col=context.text_col)
+    output = options.get("output", "outcomes")
+    df = _joined(df, found.select("doc_id", "label"), context, output)
+    details = found.select("doc_id", F.explode("details").alias("s"), "label").select("doc_id", F.concat(F.lit("["), "label", F.lit("] "), "s").alias("label"))
+    return _joined(df, details, context, f"{output}_details")
+
+
+@register("classify")
+def classify(df: DataFrame, context: Context, options: dict) -> DataFrame:
+    """The class that a model learns from a dictionary (text, label: a number from 0 on)."""
+    words = lambda rows, column: learned.with_words(rows, column)
+    model = learned.fit_classifier(words(context.dictionaries[options["examples"]].withColumn("label", F.col("label").cast("double")), "text"))
+    rows = words(df.withColumn("__text", F.coalesce(F.col(context.text_col), F.lit(""))), "__text")
+    return model.transform(rows).select(*df.columns, F.col("prediction").cast("int").alias(options.get("output", "class")))

@@ -78,3 +78,18 @@ def test_steps(spark):
     assert [(p["narrow"], p["broad"]) for p in found[1]["hyponyms"]] == [("maize", "crop")] and found[2]["hyponyms"] == []
     assert [p["abbr"] for p in found[1]["abbreviations"]] == ["WHO"] and (found[1]["priority"], found[2]["priority"]) == ("More likely", "Unlikely")
     assert "The World Health Organization" in found[1]["entities"] and found[1]["population tags"] == []
+
+
+def test_more_steps(spark):
+    rows = [(1, "A comparison of maize and wheat. The yield rose by 12 tons of maize. Results improved income.", "Dept of Soil, University of Rome, Rome, Italy; FAO, Rome, Italy"), (2, None, None), (3, "loan credit", "Univ of Rome, Rome, Italy")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, raw_affiliation string")
+    examples = spark.createDataFrame([("maize wheat yield tons", 0), ("loan credit bank", 1)] * 4, "text string, label int")
+    steps = [
+        {"step": "affiliations"}, {"step": "measurements", "concepts": ["maize", "income"]}, {"step": "comparisons"}, {"step": "outcomes", "patterns": {"Income": "(?i)income"}},
+        {"step": "classify", "examples": "e"}, {"step": "topics", "k": 2, "iterations": 2}, {"step": "missing", "apply": False},
+    ]
+    found = {r["doc_id"]: r for r in registry.run(df, steps, registry.Context(dictionaries={"e": examples})).collect()}
+    assert found[1]["affiliations"] == ["FAO", "University of Rome"] and found[2]["affiliations"] == []
+    assert found[1]["measurements"] == ["maize"] and found[1]["compared_terms"] == ["maize | wheat"] and found[2]["compared_terms"] == []
+    assert found[1]["outcomes"] == ["Income"] and found[1]["outcomes_details"] == ["[Income] Results improved income."]
+    assert (found[1]["class"], found[3]["class"]) == (0, 1) and isinstance(found[2]["topics"], list)

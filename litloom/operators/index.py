@@ -20,11 +20,14 @@ def neighbours(words: Column) -> Column:
     return F.zip_with(F.slice(words, 1, F.greatest(n - 1, F.lit(0))), F.slice(words, 2, F.greatest(n, F.lit(1))), lambda a, b: F.concat_ws(" ", a, b))
 
 
+SMALL_BYTES = 16 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Rows dealt out over all cores where a table has fewer files than cores; larger tables stay as they are."""
+    """Rows dealt out over all cores where the planner expects less than SMALL_BYTES for each; larger tables stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    return df.repartition(cores) if 0 < len(files) < cores else df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * SMALL_BYTES else df
 
 
 def build_terms(df: DataFrame, id_col: str = "doc_id", text_cols: list[str] = ("text",), keyword_cols: list[str] = ()) -> DataFrame:

@@ -122,8 +122,8 @@ def split_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT text, count(*) AS rows, string_agg(DISTINCT source, ';' ORDER BY source) AS sources FROM documents GROUP BY text HAVING count(*) > 1""")
 def merge_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").groupBy("text").agg(F.count(F.lit(1)).alias("rows"), F.array_join(F.array_sort(F.collect_set("source")), ";").alias("sources"))
-    return rows.where("rows > 1")
+    rows = table(spark, sf_dir, "documents").groupBy(F.md5("text"), F.xxhash64("text")).agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("rows"), F.array_join(F.array_sort(F.collect_set("source")), ";").alias("sources"))
+    return rows.where("rows > 1").select("text", "rows", "sources")
 
 
 FILES = [("report.pdf", "A"), ("plan", "B"), ("notes.txt", "C")]

@@ -267,7 +267,7 @@ def new_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""WITH u AS (SELECT text, max(doc_id) AS doc_id, count(*) AS copies, string_agg(DISTINCT source, ';' ORDER BY source) AS sources FROM documents GROUP BY text) SELECT doc_id, copies, sources FROM u""")
 def dedup_list_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").groupBy("text").agg(F.max("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.array_join(F.array_sort(F.collect_set("source")), ";").alias("sources"))
+    rows = table(spark, sf_dir, "documents").groupBy(F.md5("text"), F.xxhash64("text")).agg(F.max("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.array_join(F.array_sort(F.collect_set("source")), ";").alias("sources"))
     return rows.select("doc_id", "copies", "sources")
 
 

@@ -136,6 +136,11 @@ def _most_frequent(counts: DataFrame, keys: list[str], most: int) -> DataFrame:
     return counts.join(F.broadcast(cuts), keys).where((F.col("n") > F.col("cut")) | ((F.col("n") == F.col("cut")) & (draw < F.col("room")))).drop("cut", "room")
 
 
+def _cut(text: Column, size: int):
+    """A function of one argument, as transform gives a second one the index."""
+    return lambda start: F.substr(text, start, F.lit(size))
+
+
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS, most_words: int = MOST_WORDS, most_grams: int = MOST_GRAMS) -> LanguageModel:
     """A model from the rows that are labelled and not held out.
 
@@ -163,7 +168,7 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     grams = None
     for size in SIZES:
         starts = F.sequence(F.lit(1), F.greatest(F.length(marked) - (size - 1), F.lit(1)))
-        part = counts.select("lang", F.lit(size).alias("size"), "n", F.explode(F.transform(starts, lambda i, size=size: F.substr(marked, i, F.lit(size)))).alias("item"))
+        part = counts.select("lang", F.lit(size).alias("size"), "n", F.explode(F.transform(starts, _cut(marked, size))).alias("item"))
         grams = part if grams is None else grams.unionByName(part)
     grams = settle(grams.where(F.length("item") == F.col("size")).groupBy("lang", "size", "item").agg(F.sum("n").alias("n")))
     grams = _most_frequent(grams, ["lang", "size"], most_grams)

@@ -151,3 +151,28 @@ def test_sums_give_the_ridge_of_all_rows(spark):
     raw = z @ model.weights
     order = np.argsort(raw)
     assert (np.diff(model.scores(x)[order]) >= -1e-12).all()
+
+
+def test_language_scores_by_definition(spark):
+    """Smoothed log frequencies of words and n-grams, and the total of a text, against a direct computation."""
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("haus baum", "bb"), ("house tree", "aa"), ("haus wald", "bb"), ("house house", "aa"), ("wald", "bb"), ("tree", "aa")] * 3)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    taught = [(t, lang) for i, t, lang in rows if zlib.crc32(str(i).encode()) % 5]
+    count = {lang: {} for lang in ("aa", "bb")}
+    for t, lang in taught:
+        for w in t.split():
+            count[lang][w] = count[lang].get(w, 0) + 1
+    words = sorted({w for c in count.values() for w in c})
+    log = lambda w: [np.log((count[x].get(w, 0) + 0.5) / (sum(count[x].values()) + 0.5 * len(words))) for x in ("aa", "bb")]
+    assert model.words == words and np.allclose(model.word_scores, [log(w) for w in words], atol=1e-5)
+    trigrams = {lang: {} for lang in count}
+    for lang, c in count.items():
+        for w, n in c.items():
+            for i in range(len(w)):
+                g = f"^{w}$"[i : i + 3]
+                trigrams[lang][g] = trigrams[lang].get(g, 0) + n
+    kinds = sorted({g for c in trigrams.values() for g in c})
+    g = "^ha"
+    assert np.allclose(model.gram_scores[model.grams.index(g)], [np.log((trigrams[x].get(g, 0) + 0.5) / (sum(trigrams[x].values()) + 0.5 * len(kinds))) for x in ("aa", "bb")], atol=1e-5)
+    total = np.array(log("haus")) * 2 + np.array(log("tree"))
+    assert model.predict("Haus tree haus") == (["aa", "bb"][int(np.argmax(total))], pytest.approx(float(1 / np.exp(total - total.max()).sum()), abs=1e-5))

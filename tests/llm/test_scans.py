@@ -172,3 +172,29 @@ def test_size_of_the_index():
     items = [(i, sentence(i, 60)) for i in range(3000)]
     size = sum(len(t) for _, t in items)
     assert len(pickle.dumps(decontam.Items(items))) < 30 * size + (1 << 24)
+
+
+def test_battery_by_definition(spark):
+    """The p of each candidate against a direct computation of the three tests."""
+    import math
+
+    rng = random.Random(31)
+    values = ["".join(rng.choices(alphabet, k=n)) for alphabet in (string.digits + "abcdef", string.ascii_letters + string.digits, "ab12") for n in (24, 33, 64, 200)]
+    values = [v for v in values if re.search("[0-9]", v) and re.search("[A-Za-z]", v)] + ["a1" * 20, "abc123" * 9]
+    tested = secrets._tested(secrets._located(F.col("text"), secrets.CANDIDATE, 3))
+    found = {r["text"]: r["c"] for r in frame(spark, list(enumerate(values))).select("text", tested.alias("c")).collect()}
+    upper = lambda z: 0.5 * math.erfc(z / math.sqrt(2))
+    for value in values:
+        alphabet = next(a for _, rule, a in secrets.ENCODINGS if re.match(rule, value))
+        k, n, v = len(alphabet), len(value), [alphabet.index(c) for c in value]
+        chi = (k / n * sum(v.count(s) ** 2 for s in range(k)) - n - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n)
+        high = [2 * x >= k for x in v]
+        ones, runs = sum(high), 1 + sum(a != b for a, b in zip(high, high[1:], strict=False))
+        wanted = 2 * ones * (n - ones) / n + 1
+        spread = (wanted - 1) * (wanted - 2) / (n - 1)
+        run_z = (runs - wanted) / math.sqrt(spread) if spread > 0 else 99
+        mean = sum(v) / n
+        variance = sum((x - mean) ** 2 for x in v)
+        serial = (sum((a - mean) * (b - mean) for a, b in zip(v, v[1:], strict=False)) / variance + 1 / n) * math.sqrt(n) if variance else 99
+        p = min(1, 3 * min(upper(chi), 2 * upper(abs(run_z)), 2 * upper(abs(serial))))
+        assert abs(found[value][0]["p"] - p) < 1e-5, value

@@ -121,3 +121,23 @@ def test_shards_do_not_depend_on_ranges(spark):
         sharding.ROWS_A_RANGE, sharding.ROWS_A_SALT = before
         sharding.LEAST_RANGES, sharding.LEAST_SALTS = 1024, 256
     assert few == many
+
+
+def test_shards_by_definition(spark):
+    """Texts in order of their hash, each group of copies at the middle of its bytes: brute force."""
+    from pyspark.sql import functions as F
+
+    rows = [(i, sentence(i // 2 if i < 400 else i, 5 + i % 60)) for i in range(2000)] + [(9000, None), (9001, "")]
+    df = frame(spark, rows)
+    found = {r["doc_id"]: r["shard"] for r in sharding.shard_by_bytes(df).collect()}
+    hashes = {r["doc_id"]: r["h"] for r in df.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()}
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[hashes[i], zlib.crc32((t or "").encode()), len((t or "").encode()) + 16].append(i)
+    total = sum(size * len(ids) for (_, _, size), ids in groups.items())
+    before = 0
+    for (_, _, size), ids in sorted(groups.items()):
+        whole = size * len(ids)
+        assert whole * 40 <= 0.05 * total
+        assert {found[i] for i in ids} == {min(39, (2 * before + whole) * 40 // (2 * total))}
+        before += whole

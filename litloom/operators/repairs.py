@@ -46,5 +46,6 @@ def apply_fixes(df: DataFrame, fixes: DataFrame, id_col: str = "doc_id", text_co
     words = df.select(F.col(id_col).alias("__id"), F.explode(F.array_distinct(F.split(T.fold_accents(F.col(text_col)), "[^A-Za-z0-9]+"))).alias("word"))
     loud = df.sparkSession.createDataFrame([(w.upper(), w.lower()) for w in DROPPED if len(w) > 1], "word string, fixed string")
     own = words.join(fixes.unionByName(loud).groupBy("word").agg(F.min("fixed").alias("fixed")), "word").groupBy("__id").agg(F.array_sort(F.collect_set(F.struct("word", "fixed"))).alias("__fixes"))
-    fixed = F.aggregate("__fixes", F.col(text_col), lambda t, f: F.regexp_replace(t, F.concat(F.lit(r"\b"), f["word"], F.lit(r"\b")), f["fixed"]))
+    whole = lambda w: F.concat(F.lit("(?<![A-Za-z0-9_])"), w, F.lit("(?![A-Za-z0-9_])"))
+    fixed = F.aggregate("__fixes", F.col(text_col), lambda t, f: F.regexp_replace(t, whole(f["word"]), f["fixed"]))
     return df.join(own, F.col(id_col) == F.col("__id"), "left").withColumn(text_col, F.when(F.col("__fixes").isNotNull(), fixed).otherwise(F.col(text_col))).select(*df.columns)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,11 +43,24 @@ def joined_words(docs: DataFrame, pairs: DataFrame, id_col: str = "doc_id") -> D
     """`docs` (id, words) with neighbours that are a pair joined by an underscore, from the left; of overlapping pairs the first counts."""
     runs = docs.select(id_col, F.posexplode(F.zip_with(F.slice("words", 1, F.greatest(F.size("words") - 1, F.lit(0))), F.slice("words", 2, F.greatest(F.size("words"), F.lit(1))), lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("at", "p"))
     hits = runs.select(id_col, "at", "p.a", "p.b").join(pairs.select("a", "b").distinct(), ["a", "b"]).groupBy(id_col).agg(F.array_sort(F.collect_set("at")).alias("hits"))
-    # A hit right after a taken one is passed over.
-    taken = F.aggregate("hits", F.struct(F.lit(-2).alias("last"), F.array().cast("array<int>").alias("out")), lambda acc, h: F.when(h == acc["last"] + 1, acc).otherwise(F.struct(h.alias("last"), F.array_append(acc["out"], h).alias("out"))), lambda acc: acc["out"])
-    rows = docs.join(hits, id_col, "left").withColumn("taken", F.coalesce(taken, F.array().cast("array<int>")))
-    word = F.transform("words", lambda w, i: F.when(F.array_contains("taken", i), F.concat_ws("_", w, F.get("words", i + 1))).when(~F.array_contains("taken", i - 1), w))
-    return rows.select(id_col, F.filter(word, lambda w: w.isNotNull()).alias("words"))
+
+    # In built-in functions each step would copy the list, so long texts would take quadratic time.
+    @F.pandas_udf("array<string>")
+    def joined(words: pd.Series, hits: pd.Series) -> pd.Series:
+        out = []
+        for w, h in zip(words, hits, strict=True):
+            if h is None:
+                out.append(w)
+                continue
+            text, last = [], 0
+            for at in h:
+                if at >= last:  # else its first word belongs to the phrase before
+                    text += [*w[last:at], f"{w[at]}_{w[at + 1]}"]
+                    last = at + 2
+            out.append([*text, *w[last:]])
+        return pd.Series(out, dtype=object)
+
+    return docs.join(hits, id_col, "left").select(id_col, joined("words", "hits").alias("words"))
 
 
 def trigrams(docs: DataFrame, least: int = 5, score: float = 10.0, id_col: str = "doc_id") -> DataFrame:
@@ -60,8 +74,12 @@ def popular_expressions(docs: DataFrame, longest: int = 4, least: int = 5) -> Da
 
     docs: doc_id, words.
     """
-    n = F.size("words")
-    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(longest)), lambda k: F.when(k <= n, F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.array_join(F.slice("words", i, k), " "))).otherwise(F.array().cast("array<string>"))))
+    runs, parts = F.col("words"), [F.col("words")]
+    for k in range(2, longest + 1):  # each run with the word after it
+        kept = F.greatest(F.size("words") - k + 1, F.lit(0))
+        runs = F.zip_with(F.slice(runs, 1, kept), F.slice("words", k, kept), lambda a, b: F.concat_ws(" ", a, b))
+        parts.append(runs)
+    runs = F.concat(*parts)
     counts = settle(docs.select(F.explode(F.array_distinct(runs)).alias("expression")).groupBy("expression").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= least))
     words = F.split("expression", " ")
     longer = counts.where(F.size(words) > 1)

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ARROW_ROWS = 2000
+ARROW_ROWS = 1000
 MOST_BITS = 26
 
 

@@ -97,7 +97,8 @@ def _rank(source: Column) -> Column:
 def distinct_articles(rows: DataFrame) -> DataFrame:
     """One article of each group of equal texts and titles: without sources the last, else that of the first source, the earliest of these."""
     best = F.when(F.col("source").isNull(), F.struct(F.lit(0).alias("rank"), (-F.col("doc_id")).alias("place"))).otherwise(F.struct(_rank(F.col("source")).alias("rank"), F.col("doc_id").alias("place")))
-    key = (F.xxhash64("text"), F.md5("text"), F.md5("title"))
+    # An article without a title term meets no other, not even a copy.
+    key = (F.xxhash64("text"), F.md5("text"), F.md5("title"), F.when(F.col("block").isNull(), F.col("doc_id")))
     kept = rows.groupBy(*(k.alias(f"k{i}") for i, k in enumerate(key))).agg(F.min_by("doc_id", best).alias("doc_id")).select("doc_id")
     return rows.join(kept, "doc_id", "left_semi")
 

@@ -218,7 +218,7 @@ def _weights(source: str, name: str, total: str) -> str:
 
 def duplicates_sql(source: str, who: str, order: str) -> str:
     """CTEs that end in dups(a, b, title_similarity, title_cosine, text_cosine) among uniq(doc_id, text, title, kind)."""
-    return f"""WITH arts AS ({source}), {who},
+    return f"""WITH arts AS (SELECT *, len({numbered_sql("title")}) = 0 AS bare FROM ({source})), {who},
 ttl AS (SELECT doc_id AS id, {numbered_sql("title")} AS w FROM uniq), body AS (SELECT doc_id AS id, {numbered_sql("text")} AS w FROM uniq),
 {_weights("ttl", "tw", "uniq")}, {_weights("body", "bw", "uniq")},
 blocks AS (SELECT u.doc_id, u.title, u.kind, trim(u.text) = '' AS blank, array_to_string(t.w[1:2], ' ') AS block FROM uniq u JOIN ttl t ON t.id = u.doc_id WHERE len(t.w) > 0),
@@ -228,7 +228,7 @@ bc AS (SELECT a, b, sum(x.w * y.w) AS c FROM near JOIN bw x ON x.id = a JOIN bw
 dups AS (SELECT n.a, n.b, ts, tc, coalesce(c, 0) AS cosine FROM near n LEFT JOIN bc ON bc.a = n.a AND bc.b = n.b WHERE ((ts >= 0.9 OR tc >= 0.95) AND (coalesce(c, 0) >= 0.85 OR spared)) OR (tc > 0.8 AND coalesce(c, 0) >= 0.94))"""
 
 
-_LAST = "uniq AS (SELECT a.* FROM arts a JOIN (SELECT max(doc_id) AS doc_id FROM arts GROUP BY text) USING (doc_id))"
+_LAST = "uniq AS (SELECT * FROM arts WHERE bare OR doc_id IN (SELECT max(doc_id) FROM arts WHERE NOT bare GROUP BY text))"
 _DUP = duplicates_sql(f"SELECT doc_id, coalesce(text, '') AS text, {_SENTENCE} AS title, 0 AS kind FROM documents", _LAST, "x.doc_id < y.doc_id")
 
 
@@ -244,7 +244,7 @@ def dedup_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _RANKED = "coalesce(list_position(['Scopus', 'ISI', 'CABI'], CASE source WHEN 'src0' THEN 'Scopus' WHEN 'src1' THEN 'ISI' WHEN 'src2' THEN 'CABI' END), 9)"
-_FIRST = f"uniq AS (SELECT * FROM arts QUALIFY row_number() OVER (PARTITION BY text ORDER BY kind, doc_id) = 1)"  # noqa: F541
+_FIRST = "uniq AS (SELECT * FROM arts QUALIFY row_number() OVER (PARTITION BY text, CASE WHEN bare THEN doc_id END ORDER BY kind, doc_id) = 1)"
 _BY_SOURCE = duplicates_sql(f"SELECT doc_id, coalesce(text, '') AS text, {_SENTENCE} AS title, {_RANKED} AS kind FROM documents", _FIRST, "x.doc_id < y.doc_id")
 
 

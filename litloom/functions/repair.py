@@ -13,26 +13,36 @@ SCIENCE = ["Scopus", "CAB", "Econlit", "Proquest", "Web of Science", "Agricola",
 RANK_CAP = 5000
 
 
+# What Java and RE2 read alike: white space and the borders of ASCII words. The end of a text is \z, since $ also stands before a last line break.
+SPACES, BEFORE, AFTER = r"[\t\n\f\r ]+", "(?<![A-Za-z0-9_])", "(?![A-Za-z0-9_])"
+ONE_WORD = r"^[A-Za-z0-9_ -]*\z"
+
+
+def _trimmed(text: Column) -> Column:
+    """Without spaces of any width at the ends; line breaks and tabs stay."""
+    return F.regexp_replace(text, r"^\p{Zs}+|\p{Zs}+\z", "")
+
+
 def _words(text: Column) -> Column:
-    return F.size(F.filter(F.split(squeeze(text), " "), lambda w: w != ""))
+    return F.size(F.filter(F.split(_trimmed(squeeze(text)), " "), lambda w: w != ""))
 
 
 def drop_leading_fragments(text: Column) -> Column:
     """Leading one-word parts between semicolons go, until a longer part or one that the next continues in lower case."""
     parts = F.split(text, ";")
     follows = F.concat(F.slice(parts, 2, F.size(parts)), F.array(F.lit("")))
-    kept = F.transform(F.arrays_zip(parts.alias("p"), follows.alias("n")), lambda z: ~(z["p"].rlike("^[A-Za-z0-9_ -]*$") & (_words(z["p"]) < 2)) | F.trim(z["n"]).rlike("^[a-z]"))
+    kept = F.transform(F.arrays_zip(parts.alias("p"), follows.alias("n")), lambda z: ~(z["p"].rlike(ONE_WORD) & (_words(z["p"]) < 2)) | _trimmed(z["n"]).rlike("^[a-z]"))
     first = F.array_position(kept, True).cast("int")
     rest = F.when(first > 0, F.array_join(F.slice(parts, first, F.size(parts)), ";")).otherwise(F.lit(""))
-    short = F.element_at(parts, 1).rlike("^[A-Za-z0-9_ -]*$") & (_words(F.element_at(parts, 1)) < 2)
-    return F.when(F.contains(text, F.lit(";")) & short, F.trim(rest)).otherwise(text)
+    short = F.element_at(parts, 1).rlike(ONE_WORD) & (_words(F.element_at(parts, 1)) < 2)
+    return F.when(F.contains(text, F.lit(";")) & short, _trimmed(rest)).otherwise(text)
 
 
 def drop_trailing_fragments(text: Column) -> Column:
     """After a part that ends a sentence and is followed by a very short one, nothing is kept; before it, longer parts."""
     parts = F.split(text, ";")
     follows = F.concat(F.slice(parts, 2, F.size(parts)), F.array(F.lit("a b c")))
-    ends = F.transform(F.arrays_zip(parts.alias("p"), follows.alias("n")), lambda z: F.trim(z["p"]).rlike("[.]$") & (_words(z["n"]) < 3))
+    ends = F.transform(F.arrays_zip(parts.alias("p"), follows.alias("n")), lambda z: _trimmed(z["p"]).rlike(r"[.]\z") & (_words(z["n"]) < 3))
     last = F.array_position(ends, True).cast("int")
     kept = F.filter(F.slice(parts, 1, last), lambda p: _words(p) > 3)
     return F.when(last > 0, F.array_join(kept, ";")).otherwise(text)
@@ -48,7 +58,7 @@ def drop_last_brackets(text: Column) -> Column:
 
     Where less than two terms would be left the brackets are opened instead; more than two terms after a bracket keep it.
     """
-    bracket = r"\[.*?\]"
+    bracket = r"\[[^\n]*?\]"
     gaps, held = F.split(text, bracket, -1), F.regexp_extract_all(text, F.lit(bracket), F.lit(0))
     backwards = F.reverse(F.arrays_zip(F.slice(gaps, 1, F.size(held)).alias("gap"), held.alias("held")))
     # upto: length of the part not looked at yet; after: what is kept of the rest.
@@ -64,7 +74,7 @@ def drop_last_brackets(text: Column) -> Column:
 
     def put(acc: Column) -> Column:
         whole = F.concat(F.substr(text, F.lit(1), acc["upto"]), acc["after"])
-        return F.when(acc["opened"], F.trim(F.translate(whole, "[]", "  "))).when(acc["upto"] + F.length(acc["after"]) == F.length(text), text).otherwise(F.trim(whole))
+        return F.when(acc["opened"], _trimmed(F.translate(whole, "[]", "  "))).when(acc["upto"] + F.length(acc["after"]) == F.length(text), text).otherwise(_trimmed(whole))
 
     return F.when(F.size(held) > 0, F.aggregate(backwards, start, step, put)).otherwise(text)
 
@@ -83,9 +93,13 @@ def dataset_type(dataset: Column) -> Column:
     return F.when(dataset.isin(SCIENCE), F.lit("Science Journals")).otherwise(F.lit("Grey Literature"))
 
 
-def join_initials(text: Column) -> Column:
-    """Runs of capitals between spaces as one abbreviation."""
-    return F.regexp_replace(text, r"\b([A-Z]+)\s+(?=[A-Z]+\b)", "$1")
+def join_initials(text: Column, rounds: int | None = None) -> Column:
+    """Runs of capitals between spaces as one abbreviation; with `rounds`, neighbours are joined two by two so many times."""
+    if rounds is None:
+        return F.regexp_replace(text, f"{BEFORE}([A-Z]+){SPACES}(?=[A-Z]+{AFTER})", "$1")
+    for _ in range(rounds):
+        text = F.regexp_replace(text, f"{BEFORE}([A-Z]+){SPACES}([A-Z]+){AFTER}", "$1$2")
+    return text
 
 
 def drop_brackets(text: Column) -> Column:

@@ -3,7 +3,9 @@
 import duckdb
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 
+from litloom.operators import dedup
 from litloom.queries import QUERIES, SQL
 
 
@@ -24,3 +26,15 @@ def test_repaired_texts(spark, tmp_path):
         "words that stay here [b\nc] [d]　", "a b c d.; ;x", "[a] ", None, "",
     ]
     assert not differences(spark, tmp_path, "repaired_texts", documents={"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+
+
+@pytest.mark.parametrize("name", ["near_dup_pairs", "dedup_survivors", "dedup_by_source", "new_articles"])
+def test_many_articles_of_a_title(spark, tmp_path, monkeypatch, name):
+    """Articles of one title meet in chunks, whose pairs are those of the SQL."""
+    monkeypatch.setattr(dedup, "CHUNK", 3)
+    words = [f"word{chr(97 + i)}x" for i in range(20)]
+    texts = [f"Maize yield in dry lands. {' '.join(words[: 8 + i % 5] + words[15 : 15 + i // 5])}" for i in range(20)]
+    texts += [t.replace("dry lands", "dry land") for t in texts[:6]] + [f"Maize yield of rice. {words[i]}" for i in range(4)] + [texts[0], "", None, "12"]
+    ids = pa.array(range(len(texts)), pa.int64())
+    sources = pa.array([f"src{i % 4}" for i in range(len(texts))])
+    assert not differences(spark, tmp_path, name, documents={"doc_id": ids, "text": pa.array(texts, pa.string()), "source": sources})

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from litloom.functions.text import is_abbreviation, similarity, subexpressions
 from litloom.operators import search
-from litloom.storage import follow
+from litloom.storage import follow, settle, tabled
 
 #: A bracketed abbreviation and the words before it.
 BRACKETED = r"((?:[A-Za-z-]+ ){1,12})\(([A-Z]{2,10})s?\)"
@@ -86,7 +86,12 @@ def used_meanings(postings: DataFrame, vocabulary: DataFrame, meanings: DataFram
     That is the most frequent of its meanings that the document holds too; with none of them, the first of the corpus.
     """
     queries = meanings.select(F.xxhash64("meaning").alias("query_id"), F.col("meaning").alias("query")).distinct()
-    held = search.search(queries, postings, vocabulary, threshold)
+    vocabulary = None if threshold >= search.EXACT else vocabulary
+    # The index is read once, for the terms of the meanings and the abbreviations.
+    spelled = tabled(search.expand(search.query_grams(queries), vocabulary, threshold))
+    wanted = tabled(spelled.select("term").unionByName(meanings.select(F.col("abbr").alias("term"))))
+    postings = settle(postings.join(wanted, "term", "left_semi"))
+    held = search.matched(spelled, postings)
     holders = postings.join(meanings.select(F.col("abbr").alias("term")).distinct(), "term").select("doc_id", F.col("term").alias("abbr"))
     offered = holders.join(meanings.select("abbr", "meaning", "place"), "abbr").withColumn("query_id", F.xxhash64("meaning"))
     offered = offered.join(held.withColumn("here", F.lit(0)), ["query_id", "doc_id"], "left")

@@ -10,13 +10,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from litloom.functions.text import normalize_text, tokens
+from litloom.operators import index
 
 SEED = 7
 
 
 def with_words(df: DataFrame, text_col: str = "text") -> DataFrame:
-    return df.withColumn("words", F.coalesce(tokens(normalize_text(F.col(text_col))), F.array().cast("array<string>")))
+    return index.with_terms(df, df.columns, F.coalesce(text_col, F.lit("")))
 
 
 def fit_topics(df: DataFrame, k: int = 15, vocabulary: int = 5000, iterations: int = 20) -> PipelineModel:

@@ -122,7 +122,7 @@ def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def word_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = learned.with_words(index.spread(table(spark, sf_dir, "documents").select("doc_id", "text"))).select("words")
+    docs = index.with_terms(index.spread(table(spark, sf_dir, "documents").select("doc_id", "text")), [], F.coalesce("text", F.lit("")))
     return learned.fit_vectors(docs, 32).findSynonyms("thon", 10)
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litloom.functions.text import normalize_text, tokens
 from litloom.operators import index, mining, phrases
 from litloom.queries.parts import abbreviation, postings_ctes, token_ctes
 from litloom.queries.registry import query, table, values, values_sql
@@ -14,7 +13,7 @@ from litloom.queries.registry import query, table, values, values_sql
 t AS (SELECT a, b, count(*) AS n FROM p WHERE b IS NOT NULL GROUP BY a, b HAVING count(*) >= 5)
 SELECT a, b, n, round((n - 5) * (SELECT count(*) FROM c) / (CAST(x.c AS DOUBLE) * y.c), 6) AS score FROM t JOIN c x ON a = x.term JOIN c y ON b = y.term WHERE (n - 5) * (SELECT count(*) FROM c) / (CAST(x.c AS DOUBLE) * y.c) > 10""")
 def phrase_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = index.spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(tokens(normalize_text(F.col("text"))).alias("words"))
+    words = index.with_terms(index.spread(table(spark, sf_dir, "documents").select("doc_id", "text")), [], F.col("text"))
     return phrases.pair_scores(words).select("a", "b", "n", F.round("score", 6).alias("score"))
 
 

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litloom.functions.text import normalize_text, sentences, tokens
+from litloom.functions.text import sentences
 from litloom.operators import index, phrases
 from litloom.queries.parts import postings_ctes, token_ctes
 from litloom.queries.registry import query, table, values, values_sql
 
 
 def worded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return index.spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", tokens(normalize_text(F.col("text"))).alias("words"))
+    return index.with_terms(index.spread(table(spark, sf_dir, "documents").select("doc_id", "text")), ["doc_id"], F.col("text"))
 
 
 def _scores(tok: str, name: str) -> str:

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 32 << 20
+#: Scores that a task holds at once.
+CELLS = 1 << 21
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -17,11 +19,28 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
 
 
+def _ranked(query: np.ndarray, score: np.ndarray, id_: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best of each query, ties by the smaller id."""
+    order = np.lexsort((id_, -score, query))
+    query, score, id_ = query[order], score[order], id_[order]
+    first = np.flatnonzero(np.concatenate((np.ones(min(1, len(query)), bool), query[1:] != query[:-1])))
+    nth = np.arange(len(query)) - np.repeat(first, np.diff(np.append(first, len(query))))
+    return query[nth < k], score[nth < k], id_[nth < k]
+
+
+def _best(ids: np.ndarray, lo: int, score: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of queries (from `lo` on), cosines and ids: of each query's row of scores the k best and what ties with the last of them."""
+    score[own[None, :] == ids[:, None]] = -np.inf
+    last = np.partition(score, -k, axis=1)[:, -k] if score.shape[1] > k else np.full(len(ids), -np.inf)
+    query, at = np.nonzero((score >= last[:, None]) & (score > -np.inf))
+    return _ranked(query + lo, score[query, at], own[at], k)
+
+
 def nearest(queries: DataFrame, base: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """Columns query_id, id, cosine, place: the k most similar base vectors of each query, itself left out.
 
     Queries go to the tasks in blocks of at most BLOCK_BYTES; each task keeps its own k best for each query
-    of a block, so only those are shuffled and ranked. Ties go to the smaller id. Null vectors match nothing.
+    of a block, so only those are shuffled and ranked, and holds CELLS scores at once, however many rows a batch has. Ties go to the smaller id. Null vectors match nothing.
     """
     spark = base.sparkSession
     rows = queries.where(F.col(vector_col).isNotNull()).select(F.col(id_col).alias("query_id"), F.col(vector_col).alias("v"))
@@ -39,21 +58,18 @@ def nearest(queries: DataFrame, base: DataFrame, k: int, id_col: str = "vec_id",
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             ids, q = shared.value
-            best_s, best_i = np.full((len(ids), 0), 0.0), np.full((len(ids), 0), 0, np.int64)
+            best = (np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))
             for batch in batches:
                 if not len(batch) or not len(ids):
                     continue
                 v = np.array(batch["v"].tolist(), float)
                 v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
                 own = batch["id"].to_numpy()
-                score = np.where(own[None, :] == ids[:, None], -np.inf, np.round(q @ v.T, 12))
-                all_s = np.concatenate((best_s, score), axis=1)
-                all_i = np.concatenate((best_i, np.broadcast_to(own, score.shape)), axis=1)
-                order = np.lexsort((all_i, -all_s), axis=1)[:, :k]
-                best_s, best_i = np.take_along_axis(all_s, order, 1), np.take_along_axis(all_i, order, 1)
-            if best_s.size:
-                frame = pd.DataFrame({"query_id": np.repeat(ids, best_s.shape[1]), "id": best_i.ravel(), "cosine": best_s.ravel()})
-                yield frame[np.isfinite(frame["cosine"])]
+                step = max(1, CELLS // len(own))
+                found = [_best(ids[lo : lo + step], lo, np.round(q[lo : lo + step] @ v.T, 12), own, k) for lo in range(0, len(ids), step)]
+                best = _ranked(*(np.concatenate(c) for c in zip(best, *found, strict=True)), k)
+            if len(best[0]):
+                yield pd.DataFrame({"query_id": ids[best[0]], "id": best[2], "cosine": best[1]})
 
         found = base.where(F.col(vector_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(vector_col).alias("v")).mapInPandas(run, "query_id long, id long, cosine double")
         out = found if out is None else out.unionByName(found)

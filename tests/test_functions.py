@@ -1,5 +1,6 @@
 """Text functions and operators on hand-written cases."""
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -197,3 +198,21 @@ def test_populations_read_the_index_once(spark):
     found = taxonomies.populations(docs, posts, index.build_vocabulary(posts), 1.0, farm_markers=["maize"], dictionaries={"Named": ["franc"]}, scales={"Scaled": ["token"]}, farms=("rice",))
     assert sorted(map(tuple, found.collect())) == [(1, "Scaled"), (2, "Farmers"), (3, "Farmers"), (4, "Named")]
     assert seen.value == n
+
+
+def test_nearest_holds_few_scores_at_once(spark, monkeypatch):
+    """A task's memory doesn't grow with a block of queries times a batch; ties at the last place go to the smaller id."""
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.integers(-1, 2, 3)]) for i in range(60)] + [(60, [0.0, 0.0, 0.0]), (61, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    unit = np.array([v for _, v in rows[:61]])
+    unit = unit / np.maximum(np.linalg.norm(unit, axis=1, keepdims=True), 1e-300)
+    score = np.round(unit @ unit.T, 12)
+    wanted = {q: [i for _, i in sorted((-score[q, i], i) for i in range(61) if i != q)[:4]] for q in range(61)}
+    sizes, best = [], vectors._best
+    monkeypatch.setattr(vectors, "CELLS", 64)
+    for lo in range(0, 61, 5):  # the scores of some queries at once
+        sizes.append(best(np.arange(lo, min(61, lo + 5)), lo, score[lo : lo + 5].copy(), np.arange(61), 4))
+    assert {q: [int(i) for qq, i in zip(np.concatenate([s[0] for s in sizes]), np.concatenate([s[2] for s in sizes]), strict=True) if qq == q] for q in range(61)} == wanted
+    found = vectors.nearest(df, df, 4).orderBy("query_id", "place").collect()
+    assert {q: [r["id"] for r in found if r["query_id"] == q] for q in range(61)} == wanted

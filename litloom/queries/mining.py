@@ -42,8 +42,10 @@ def merge_concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_merged_sql(postings_ctes() + ", r AS (SELECT term AS concept, df FROM vocab WHERE n_tokens = 1)"))
 def merge_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    posts = index.build_postings(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return mining.merge_concepts(index.build_vocabulary(posts).where("n_tokens = 1").select(F.col("term").alias("concept"), "df"))
+    # Single terms only, so pairs of neighbours are not made.
+    words = index.with_terms(index.spread(table(spark, sf_dir, "documents").select("doc_id", "text")), ["doc_id"], F.col("text"))
+    posts = words.select("doc_id", F.explode(F.array_distinct("words")).alias("term")).distinct()
+    return mining.merge_concepts(index.build_vocabulary(posts).select(F.col("term").alias("concept"), "df"))
 
 
 AUTHORS = [(1, "Smith, J.; Doe, A."), (2, "J. Smith and A. Doe"), (3, "Smith J, Doe A, Lee K"), (4, "Smith, J., Doe, A. et al."), (5, None)]

@@ -216,3 +216,31 @@ def test_nearest_holds_few_scores_at_once(spark, monkeypatch):
     assert {q: [int(i) for qq, i in zip(np.concatenate([s[0] for s in sizes]), np.concatenate([s[2] for s in sizes]), strict=True) if qq == q] for q in range(61)} == wanted
     found = vectors.nearest(df, df, 4).orderBy("query_id", "place").collect()
     assert {q: [r["id"] for r in found if r["query_id"] == q] for q in range(61)} == wanted
+
+
+@pytest.mark.parametrize("threshold", [0.92, 0.85, 0.6])
+def test_similar_concepts_share_a_key(threshold):
+    """Pairs within the threshold meet by a key, others with the same prefix seldom do."""
+    rng = np.random.default_rng(5)
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    similar = 0
+    for _ in range(600):
+        a = "prefi" + "".join(rng.choice(list("abc"), rng.integers(0, 45)))
+        b = list(a)
+        for _ in range(rng.integers(1, 5)):
+            at = int(rng.integers(5, len(b) + 1))
+            b[at : at + int(rng.integers(0, 2))] = "abc"[int(rng.integers(3))] * int(rng.integers(0, 2))
+        b = "".join(b)
+        if a != b and 1 - distance(a, b) / max(len(a), len(b)) >= threshold:
+            similar += 1
+            assert set(mining.probe_keys(a, threshold, 5)) & set(mining.own_keys(b, threshold, 5)), (a, b)
+    assert similar > 20
+    assert not set(mining.probe_keys("internationally", 0.92, 5)) & set(mining.own_keys("interdependence", 0.92, 5))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -115,14 +117,74 @@ def expand_by_synonyms(keywords: DataFrame, synonyms: DataFrame) -> DataFrame:
     return lists.select("keyword_id", F.explode(product).alias("variant")).distinct()
 
 
+#: Vectors of a group that meet as one matrix, and cosines that a task holds at once.
+BLOCK = 4096
+CELLS = 1 << 21
+
+
+def components(v: np.ndarray, side: np.ndarray, least: float) -> np.ndarray:
+    """A number for each vector, equal for those connected by cosines of at least `least`. side: 0 and 1 meet each other; where all are 0, all meet.
+
+    As in `cosine`, a norm of zero gives none and what is not a number is above all.
+    """
+    norm = np.sqrt(np.cumsum(v * v, axis=1)[:, -1])
+    label = np.arange(len(v))
+    second = np.flatnonzero(side == 1) if side.any() else label.copy()
+    first = np.flatnonzero(side == 0)
+    step = max(1, CELLS // len(second))
+    for at in range(0, len(first), step):
+        rows = first[at : at + step]
+        norms = norm[rows, None] * norm[None, second]
+        score = (v[rows] @ v[second].T) / norms
+        close = np.argwhere(np.abs(score - least) <= 1e-9)
+        for lo in range(0, len(close), BLOCK):  # summed in order, as built-in expressions do
+            x, y = close[lo : lo + BLOCK].T
+            score[x, y] = np.cumsum(v[rows[x]] * v[second[y]], axis=1)[:, -1] / norms[x, y]
+        passes = (norms != 0) & ~(score < least)
+        for i, u in enumerate(rows.tolist()):
+            met = label[second[passes[i]]]
+            met = met[met != label[u]]
+            if len(met):
+                merged = np.zeros(len(v), bool)
+                merged[met] = True
+                label[merged[label]] = label[u]
+    return label
+
+
+def vector_links(rows: DataFrame, group: str, least_cosine: float) -> DataFrame:
+    """Columns a, b: names connected as they are by all pairs of a group (name, group, vector) with a cosine of at least `least_cosine`.
+
+    The vectors of a group come in blocks dealt out by hash, and blocks meet as matrices. Of two blocks each name is linked with one of
+    those it is connected with there, so there are at most as many links as names, however many pairs are close.
+    """
+    sound = F.col(group).isNotNull() & F.col("name").isNotNull() & (F.size("vector") > 0) & F.forall("vector", lambda x: x.isNotNull())
+    known = rows.where(sound).select(F.col(group).alias("kind"), "name", F.col("vector").cast("array<double>").alias("vector"), F.size("vector").alias("width"))
+    blocks = known.groupBy("kind", "width").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    dealt = known.join(blocks, ["kind", "width"]).withColumn("own", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("kind", "width", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") > F.col("other")).cast("int").alias("side"), "name", "vector")
+
+    def linked(table: pa.Table) -> pa.Table:
+        names = table.column("name").combine_chunks()
+        v = np.asarray(table.column("vector").combine_chunks().flatten()).reshape(len(names), -1)
+        side = np.asarray(table.column("side"))
+        # A pair of blocks whose second one is empty has nothing to compare.
+        alone = not side.any() and table.column("lo")[0] != table.column("hi")[0]
+        with np.errstate(all="ignore"):
+            label = np.arange(len(v)) if alone or side.all() else components(v, side, least_cosine)
+        far = np.flatnonzero(label != np.arange(len(v)))
+        return pa.table({"a": names.take(pa.array(far)), "b": names.take(pa.array(label[far]))})
+
+    return dealt.groupBy("kind", "width", "lo", "hi").applyInArrow(linked, "a string, b string").distinct()
+
+
 def cluster_vectors(rows: DataFrame, group: str, least_cosine: float = 0.9, least_size: int = 3) -> DataFrame:
     """Columns name, representative from (name, group, vector, n): connected groups of names with a cosine of at least `least_cosine`.
 
     Names meet within their group. Of a group of `least_size` names or more the one with the largest n is the representative (ties:
     nearest to the group's mean vector, fewest words, letters); names of smaller groups stand for themselves.
     """
-    x, y = rows.alias("x"), rows.alias("y")
-    pairs = settle(x.join(y, (F.col(f"x.{group}") == F.col(f"y.{group}")) & (F.col("x.name") < F.col("y.name")) & (cosine(F.col("x.vector"), F.col("y.vector")) >= least_cosine)).select(F.col("x.name").alias("a"), F.col("y.name").alias("b")))
+    pairs = settle(vector_links(rows, group, least_cosine))
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = settle(rows.select("name", F.col("name").alias("label")))
     while True:

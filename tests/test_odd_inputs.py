@@ -1,11 +1,13 @@
 """Registered queries against their SQL on inputs that the test tables don't hold."""
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
-from litloom.operators import dedup
+from litloom.operators import dedup, phrases
 from litloom.queries import QUERIES, SQL
 
 
@@ -38,3 +40,31 @@ def test_many_articles_of_a_title(spark, tmp_path, monkeypatch, name):
     ids = pa.array(range(len(texts)), pa.int64())
     sources = pa.array([f"src{i % 4}" for i in range(len(texts))])
     assert not differences(spark, tmp_path, name, documents={"doc_id": ids, "text": pa.array(texts, pa.string()), "source": sources})
+
+
+def test_vectors_cluster_as_by_all_pairs(spark, monkeypatch):
+    """Blocks and pieces of any size connect what all pairs connect; copies give a link each, not one for each pair."""
+    rng = np.random.default_rng(5)
+    rows = [(f"n{i}", i % 2, [float(x) for x in rng.normal(size=6) + (i % 7) * 0.4], i % 5) for i in range(150)]
+    rows += [("zero", 0, [0.0] * 6, 1), ("short", 0, [1.0, 2.0], 1), ("like short", 0, [2.0, 4.0], 2), ("none", 1, None, 1), ("hole", 1, [1.0, None, 0.0, 0.0, 0.0, 0.0], 1), ("empty", 1, [], 1), ("no group", None, [1.0] * 6, 1)]
+    df = spark.createDataFrame(rows, "name string, kind int, vector array<double>, n int").cache()
+    x, y = df.alias("x"), df.alias("y")
+    met = x.join(y, (F.col("x.kind") == F.col("y.kind")) & (F.col("x.name") < F.col("y.name")) & (phrases.cosine(F.col("x.vector"), F.col("y.vector")) >= 0.9))
+    want = connected([(r[0], r[1]) for r in met.select("x.name", "y.name").collect()])
+    assert want and ("like short", "short") in {tuple(sorted(c)) for c in want}
+    for block, cells in ((4096, 1 << 21), (20, 64), (7, 1)):
+        monkeypatch.setattr(phrases, "BLOCK", block)
+        monkeypatch.setattr(phrases, "CELLS", cells)
+        assert connected([(r["a"], r["b"]) for r in phrases.vector_links(df, "kind", 0.9).collect()]) == want
+    monkeypatch.undo()
+    copies = spark.createDataFrame([(f"c{i}", 0, [1.0, 2.0, 3.0], i) for i in range(400)], "name string, kind int, vector array<double>, n int")
+    assert phrases.vector_links(copies, "kind", 0.9).count() == 399
+    assert {r["representative"] for r in phrases.cluster_vectors(copies, "kind", 0.9).collect()} == {"c399"}
+
+
+def connected(links):
+    group = {}
+    for a, b in links:
+        joined = group.get(a, {a}) | group.get(b, {b})
+        group |= dict.fromkeys(joined, joined)
+    return {frozenset(g) for g in group.values()}

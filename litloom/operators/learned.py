@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from litloom.operators import index
+from litloom.storage import settle
 
 SEED = 7
 
@@ -43,8 +44,16 @@ def document_topics(model: PipelineModel, df: DataFrame, id_col: str = "doc_id",
     return rows.where((F.col("place") <= top) | (F.col("weight") >= share * F.col("peak"))).select("doc_id", "topic", "weight")
 
 
+#: Words that one task learns vectors from.
+TASK_WORDS = 4_000_000
+
+
 def fit_vectors(df: DataFrame, size: int = 100, least: int = 7):
-    return Word2Vec(vectorSize=size, minCount=least, windowSize=6, maxIter=1, seed=SEED, inputCol="words", outputCol="vector").fit(df)
+    """Vectors of the words of a `words` column. Texts are dealt out to tasks of about TASK_WORDS words, each of which learns from all of its own; a word's vectors are averaged."""
+    df = settle(df.select("words"))
+    total = df.agg(F.sum(F.size("words"))).first()[0] or 0
+    parts = max(1, -(-total // TASK_WORDS))
+    return Word2Vec(vectorSize=size, minCount=least, windowSize=6, maxIter=1, numPartitions=parts, seed=SEED, inputCol="words", outputCol="vector").fit(df)
 
 
 def fit_classifier(df: DataFrame, label_col: str = "label", features: int = 1 << 14) -> PipelineModel:

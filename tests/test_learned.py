@@ -50,6 +50,29 @@ def test_stacked_classifier(spark):
     assert QUERIES["word_synonyms"](spark, "/root/testdata/sf0.001").count() == 10
 
 
+def test_vectors_learn_in_tasks(spark, monkeypatch):
+    """Words that stand in equal places are synonyms, with one task and with several, each of which has part of the texts; terms are computed once."""
+    rng = np.random.default_rng(4)
+    groups = [["maize", "wheat", "millet"], ["loan", "credit", "grant"]]
+    around = [[f"{c}{i}" for i in range(6)] for c in "xy"]
+    texts = [[w for _ in range(30) for w in (*rng.choice(around[k], 3).tolist(), str(rng.choice(groups[k])))] for k in rng.integers(0, 2, 400)]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(words):
+        read.add(1)
+        return words
+
+    docs = spark.createDataFrame([(t,) for t in texts], "words array<string>").select(F.udf(counted, "array<string>")("words").alias("words"))
+    for words, parts in ((4_000_000, 1), (12_000, 4)):
+        monkeypatch.setattr(learned, "TASK_WORDS", words)
+        before = read.value
+        model = learned.fit_vectors(docs, 16)
+        assert model.getNumPartitions() == parts and read.value - before == len(texts)
+        for group, other in (groups, groups[::-1]):
+            near = [r["word"] for r in model.findSynonyms(group[0], 8).collect()]
+            assert set(group[1:]) <= set(near) and not set(other) & set(near)
+
+
 @pytest.mark.parametrize("kind", ["boosting", "dense", "linear"])
 def test_meta_models(spark, kind):
     rng = np.random.default_rng(1)

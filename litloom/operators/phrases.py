@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from litloom.functions.text import squeeze
 from litloom.operators import mining
-from litloom.storage import follow, settle
+from litloom.storage import follow, settle, tabled
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -30,11 +30,13 @@ def follow_ups(docs: DataFrame) -> DataFrame:
 
 
 def pair_scores(docs: DataFrame, least: int = 5, score: float = 10.0) -> DataFrame:
-    """Columns a, b, n, score as mining.phrases, from one explosion of the texts: pairs are counted first, and words from pairs."""
-    counts = settle(follow_ups(docs).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")))
-    words = counts.groupBy(F.col("a").alias("word")).agg(F.sum("n").alias("c"))
+    """Columns a, b, n, score as mining.phrases. Pairs are first counted by a hash, so only those that can be frequent enough are counted by their words."""
+    docs = tabled(docs.select("words"))
+    words = tabled(docs.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("c")))
     kinds = words.agg(F.count(F.lit(1)).alias("kinds"))
-    together = counts.where(F.col("b").isNotNull() & (F.col("n") >= least))
+    met = follow_ups(docs).where("b is not null").select("a", "b", F.xxhash64("a", "b").alias("key"))
+    often = tabled(met.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("key"))
+    together = met.join(often, "key", "left_semi").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
     left, right = (words.select(F.col("word").alias(x), F.col("c").alias(f"c_{x}")) for x in "ab")
     joined = together.join(left, "a").join(right, "b").crossJoin(F.broadcast(kinds))
     value = (F.col("n") - least) * F.col("kinds") / (F.col("c_a").cast("double") * F.col("c_b"))
@@ -67,7 +69,8 @@ def joined_words(docs: DataFrame, pairs: DataFrame, id_col: str = "doc_id") -> D
 
 def trigrams(docs: DataFrame, least: int = 5, score: float = 10.0, id_col: str = "doc_id") -> DataFrame:
     """Columns a, b, n, score of phrases over texts in which pairs are already joined, so of two to four words."""
-    first = settle(pair_scores(docs.select("words"), least, score))
+    docs = tabled(docs.select(id_col, "words"))
+    first = tabled(pair_scores(docs.select("words"), least, score))  # of a known size: where it is small, places of words are not shuffled to find it
     return pair_scores(joined_words(docs, first, id_col).select("words"), least, score)
 
 

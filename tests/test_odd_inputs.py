@@ -68,3 +68,20 @@ def connected(links):
         joined = group.get(a, {a}) | group.get(b, {b})
         group |= dict.fromkeys(joined, joined)
     return {frozenset(g) for g in group.values()}
+
+
+def test_trigrams_read_their_texts_once(spark):
+    """Terms are costly: they are computed once, and pairs that meet less often than `least` are not counted by their words."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(words):
+        read.add(1)
+        return words
+
+    texts = [["the", "green", "maize", "field", f"w{i}", f"w{i // 2}", "end"] for i in range(60)] + [["lone"], []]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, words array<string>")
+    found = phrases.trigrams(docs.select("doc_id", F.udf(counted, "array<string>")("words").alias("words")), score=0.5).collect()
+    assert read.value == len(texts)
+    # "the green" and "maize field" are joined first, so four words are one phrase.
+    kinds = 60 + 4
+    assert [(r["a"], r["b"], r["n"], round(r["score"], 6)) for r in found] == [("the_green", "maize_field", 60, round(55 * kinds / 3600, 6))]

@@ -2,9 +2,10 @@
 
 import random
 from collections import Counter
+from types import SimpleNamespace
 
 import corpus_pipeline
-from litloom.llm import mixing
+from litloom.llm import mixing, storage
 
 from .conftest import sentence
 from .test_ngram_join import brute
@@ -64,3 +65,18 @@ def test_queries_registered(spark):
 
     names = __spark_entry__.queries()
     assert "pipeline" in names and all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11))
+
+
+def test_driver_heap_is_collected_between_rounds(monkeypatch):
+    class Runtime:
+        def __init__(self, total):
+            self.totalMemory, self.maxMemory = (lambda: total), (lambda: 100)
+
+    swept = []
+    monkeypatch.setattr(storage, "sweep", swept.append)
+    for total in (50, 51):
+        heap = Runtime(total)
+        jvm = SimpleNamespace(java=SimpleNamespace(lang=SimpleNamespace(Runtime=SimpleNamespace(getRuntime=lambda heap=heap: heap))))
+        session = SimpleNamespace(sparkContext=SimpleNamespace(_jvm=jvm, getCheckpointDir=lambda: "there"))
+        storage.settle(SimpleNamespace(sparkSession=session, checkpoint=lambda eager: eager))
+        assert len(swept) == (total > 50)

@@ -85,3 +85,32 @@ def test_trigrams_read_their_texts_once(spark):
     # "the green" and "maize field" are joined first, so four words are one phrase.
     kinds = 60 + 4
     assert [(r["a"], r["b"], r["n"], round(r["score"], 6)) for r in found] == [("the_green", "maize_field", 60, round(55 * kinds / 3600, 6))]
+
+
+def test_texts_are_judged_within_shared_terms():
+    """Terms without a partner are left out of the matrices, and articles that cannot reach the bound; no cosine that does is lost or changed."""
+    rng = np.random.default_rng(3)
+
+    def chunk(n, first):
+        own = np.repeat(np.arange(n), 40)
+        term = np.concatenate([np.append(rng.choice(32, 30, replace=False), first + 100 * i + np.arange(10)) for i in range(n)]).astype(np.int64)
+        w = rng.uniform(0.8, 1.2, len(own)) * np.where(term >= 1000, np.repeat(rng.random(n) < 0.5, 40) * 3 + 0.01, 1)
+        return own, term, w / np.sqrt(np.bincount(own, w**2, n))[own], n
+
+    def dense(x):
+        full = np.zeros((x[3], 100_000))
+        full[x[0], x[1]] = x[2]
+        return full
+
+    for y in (None, chunk(15, 50_000)):
+        x = chunk(20, 1000)
+        shared, keep_x, keep_y = dedup._shared(x, y, 0.8)
+        assert shared.max() < 32 and 0 < keep_x.sum() < 20
+        other = y or x
+        exact = dense(x) @ dense(other).T
+        found = np.zeros_like(exact)
+        found[np.ix_(keep_x, keep_y)] = dedup._matrix(*x[:3], keep_x, shared) @ dedup._matrix(*other[:3], keep_y, shared).T
+        if y is None:
+            np.fill_diagonal(exact, 0)
+            np.fill_diagonal(found, 0)
+        assert (exact >= 0.8).any() and ((exact >= 0.8) == (found >= 0.8)).all() and np.allclose(found[exact >= 0.8], exact[exact >= 0.8])
